@@ -1,0 +1 @@
+"""Nothing here: every step is a batch transform and none needs stream state."""
