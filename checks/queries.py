@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from checks.shop import Shop
+from checks.shop import Shop, shop_for
 from checks.sql import rounded, with_parts
 from larder.config import ForecastRules
 from larder.functions.numbers import half_even
@@ -54,10 +54,10 @@ def query(name: str, places: dict[int, str] | None = None, parts: str = "", sql:
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
     entry = QUERIES[name]
-    df = entry.build(Shop(spark, folder))
+    df = entry.build(shop_for(spark, folder))
     # Adding 0.0 turns a rounded -0.0 into 0.0.
     changes = {
-        c: F.round(c, n) + F.lit(0.0)
+        c: half_even(F.col(c), n) + F.lit(0.0)
         for n, names in entry.places.items() for c in names.split()
     }
     return df.withColumns(changes) if changes else df
@@ -287,7 +287,7 @@ def _(shop):
     return reports.seasonality(shop.sales)
 
 
-@query("revenue_trend", {2: "total_revenue ma7 ma28"}, "by_day", """
+@query("revenue_trend", {2: "total_revenue", 4: "ma7 ma28"}, "by_day", """
     SELECT date, total_revenue,
            avg(total_revenue) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS ma7,
            avg(total_revenue) OVER (ORDER BY date ROWS BETWEEN 27 PRECEDING AND CURRENT ROW) AS ma28
@@ -306,7 +306,7 @@ def _(shop):
 
 @query("top_skus", {2: "total_revenue"}, "by_product products", """
     SELECT b.stock_code, coalesce(substr(description, 1, 40), b.stock_code) AS label, category, abc_class,
-           b.total_revenue, b.total_quantity, '£' || format('{:,}', round(b.total_revenue)::BIGINT) AS revenue_text
+           b.total_revenue, b.total_quantity, '£' || format('{:,}', round_even(b.total_revenue, 0)::BIGINT) AS revenue_text
     FROM by_product b JOIN products p ON p.stock_code = b.stock_code
     ORDER BY b.total_revenue DESC, b.stock_code LIMIT 20""")
 def _(shop):
@@ -358,18 +358,28 @@ def _(shop):
     return shop.history.select("stock_code", "date", *feats.rolling_columns())
 
 
-@query("ewma_features", {6: "qty_ewma_7 qty_ewma_28"}, "sales", """
-    SELECT a.stock_code, a.date,
-           CASE WHEN a.n > 3 THEN sum(b.quantity * pow(1 - 2 / 8.0, a.n - 1 - b.n))
-                / sum(pow(1 - 2 / 8.0, a.n - 1 - b.n)) END AS qty_ewma_7,
-           CASE WHEN a.n > 7 THEN sum(b.quantity * pow(1 - 2 / 29.0, a.n - 1 - b.n))
-                / sum(pow(1 - 2 / 29.0, a.n - 1 - b.n)) END AS qty_ewma_28
-    FROM (SELECT *, row_number() OVER (PARTITION BY stock_code ORDER BY date) AS n FROM sales) a
-    LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY stock_code ORDER BY date) AS n FROM sales) b
-           ON a.stock_code = b.stock_code AND b.n < a.n
-    GROUP BY a.stock_code, a.date, a.n""")
-def _(shop):
-    return feats.add_ewma(shop.sales).select("stock_code", "date", "qty_ewma_7", "qty_ewma_28")
+@query("ewma_features", {6: "qty_ewma_28 qty_ewma_7_to_28"}, "sales", """
+    SELECT stock_code, date, qty_ewma_28, qty_ewma_7 / nullif(qty_ewma_28, 0) AS qty_ewma_7_to_28
+    FROM (SELECT a.stock_code, a.date,
+                 CASE WHEN a.n > 3 THEN sum(b.quantity * pow(1 - 2 / 8.0, a.n - 1 - b.n))
+                      / sum(pow(1 - 2 / 8.0, a.n - 1 - b.n)) END AS qty_ewma_7,
+                 CASE WHEN a.n > 7 THEN sum(b.quantity * pow(1 - 2 / 29.0, a.n - 1 - b.n))
+                      / sum(pow(1 - 2 / 29.0, a.n - 1 - b.n)) END AS qty_ewma_28
+          FROM (SELECT *, row_number() OVER (PARTITION BY stock_code ORDER BY date) AS n FROM sales) a
+          LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY stock_code ORDER BY date) AS n FROM sales) b
+                 ON a.stock_code = b.stock_code AND b.n < a.n
+          GROUP BY a.stock_code, a.date, a.n)""")
+def _(shop):
+    """The short mean is shown against the long one.
+
+    Its weights are powers of 3/4, so on whole units its plain value often lies
+    exactly between two roundings, where the last bit decides.
+    """
+    short, long = F.col("qty_ewma_7"), F.col("qty_ewma_28")
+    return feats.add_ewma(shop.sales).select(
+        "stock_code", "date", "qty_ewma_28",
+        F.try_divide(short, long).alias("qty_ewma_7_to_28"),
+    )
 
 
 @query("price_features", {4: "price_change_7d price_vs_avg"}, "sales", """
@@ -509,7 +519,7 @@ def _(shop):
 @query("reorder_policy", {4: "avg_daily_demand reorder_point eoq"}, "policy",
        "SELECT stock_code, d AS avg_daily_demand, lead AS lead_time_days, rop AS reorder_point, eoq FROM policy")
 def _(shop):
-    return reorder_policy(shop.sales, shop.supply).drop("unit_price")
+    return reorder_policy(shop.sales, shop.products).drop("unit_price")
 
 
 @query("stock_ledger", {4: "opening_inventory units_sold closing_inventory"}, "stock", "SELECT * FROM stock")
@@ -727,12 +737,12 @@ _IMPACT_MONEY = ("revenue_at_risk forecast_revenue_28d inventory_value capital_l
                  "potential_sales_increase overstock_cost_monthly stockout_cost expected_profit_improvement")
 
 
-@query("business_impact", {1: _IMPACT_MONEY}, "impact", "SELECT * FROM impact")
+@query("business_impact", {2: _IMPACT_MONEY}, "impact", "SELECT * FROM impact")
 def _(shop):
     return shop.impact
 
 
-@query("impact_waterfall", {1: "amount"}, "impact", """
+@query("impact_waterfall", {2: "amount"}, "impact", """
     SELECT 1 AS step, 'Current Revenue at Risk' AS label, 'absolute' AS measure, -revenue_at_risk AS amount FROM impact
     UNION ALL SELECT 2, 'Stockout Recovery', 'relative', potential_sales_increase FROM impact
     UNION ALL SELECT 3, 'Overstock Savings', 'relative', overstock_cost_monthly FROM impact
@@ -819,18 +829,18 @@ def _baseline_metrics(shop):
     return evaluation.forecast_metrics(rows[0].unionByName(rows[1]), ["model"])
 
 
-@query("forecast_metrics", {3: "WAPE MAPE MAE RMSE Bias MdAPE"}, "metrics", "SELECT * FROM metrics")
+@query("forecast_metrics", {4: "WAPE MAPE MAE RMSE Bias MdAPE"}, "metrics", "SELECT * FROM metrics")
 def _(shop):
     return _baseline_metrics(shop)
 
 
-@query("model_ranking", {3: "WAPE MAPE MAE RMSE Bias"}, "metrics", """
+@query("model_ranking", {4: "WAPE MAPE MAE RMSE Bias"}, "metrics", """
     SELECT model, WAPE, MAPE, MAE, RMSE, Bias, row_number() OVER (ORDER BY WAPE, model) AS rank FROM metrics""")
 def _(shop):
     return evaluation.rank_models(_baseline_metrics(shop))
 
 
-@query("best_model", {3: "WAPE"}, "metrics", "SELECT model, WAPE FROM metrics ORDER BY WAPE, model LIMIT 1")
+@query("best_model", {4: "WAPE"}, "metrics", "SELECT model, WAPE FROM metrics ORDER BY WAPE, model LIMIT 1")
 def _(shop):
     return evaluation.best_model(_baseline_metrics(shop))
 
@@ -919,8 +929,7 @@ def _(shop):
 # Models: no SQL counterpart ---------------------------------------------------------
 
 def _model_table(shop):
-    recent = folds.recent_history(shop.features)
-    return folds.with_min_history(recent).persist()
+    return shop.model_table
 
 
 @query("cv_metrics")

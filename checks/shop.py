@@ -1,4 +1,9 @@
-"""The library's tables over one folder of the benchmark schema, built on first use."""
+"""The library's tables over one folder of the benchmark schema, built on first use.
+
+As after a run of the whole chain, the stage tables (daily sales, products,
+stock ledger, feature history, model rows) are written once per session and
+folder, and every query reads them.
+"""
 
 from __future__ import annotations
 
@@ -8,15 +13,28 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larder.operators.calendar import build_calendar, date_span
 from larder.operators.daily import build_sales_daily, daily_sales
-from larder.operators.features import build_features, history_features
+from larder.operators.features import finish_features, history_features
+from larder.operators.folds import recent_history, with_min_history
 from larder.operators.ordered import latest_per_key
-from larder.operators.products import TERMS, build_product_master, product_profile
+from larder.operators.products import build_product_master
 from larder.operators.risk import assess_risk, business_impact
 from larder.operators.stock import project_stock
 from larder.plans import reports
+from larder.plans.lineage import pin
 from larder.sources import tpch
 
 
+_OPEN: dict[tuple[str, str], "Shop"] = {}
+
+
+def shop_for(spark: SparkSession, folder: str) -> Shop:
+    """The tables of a folder, shared by all queries of a Spark application."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _OPEN:
+        _OPEN[key] = Shop(spark, folder)
+    return _OPEN[key]
+
+
 class Shop:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -51,7 +69,7 @@ class Shop:
 
     @cached_property
     def sales(self) -> DataFrame:
-        return build_sales_daily(self.tx, span=self.span)
+        return pin(build_sales_daily(self.buyer_tx, span=self.span))
 
     @cached_property
     def calendar(self) -> DataFrame:
@@ -59,18 +77,11 @@ class Shop:
 
     @cached_property
     def products(self) -> DataFrame:
-        return build_product_master(self.tx, self.terms)
-
-    @cached_property
-    def supply(self) -> DataFrame:
-        """Prices and supply terms only, for the ledger."""
-        return product_profile(self.tx).join(
-            self.terms.select("stock_code", *TERMS), "stock_code", "left"
-        )
+        return pin(build_product_master(self.tx, self.terms))
 
     @cached_property
     def stock(self) -> DataFrame:
-        return project_stock(self.sales, self.supply)
+        return pin(project_stock(self.sales, self.products))
 
     @cached_property
     def latest_stock(self) -> DataFrame:
@@ -78,11 +89,15 @@ class Shop:
 
     @cached_property
     def history(self) -> DataFrame:
-        return history_features(self.sales)
+        return pin(history_features(self.sales))
 
     @cached_property
     def features(self) -> DataFrame:
-        return build_features(self.sales, self.products, self.calendar, self.stock)
+        return finish_features(self.history, self.products, self.calendar, self.stock)
+
+    @cached_property
+    def model_table(self) -> DataFrame:
+        return pin(with_min_history(recent_history(self.features)))
 
     @cached_property
     def demand_history(self) -> DataFrame:

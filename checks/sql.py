@@ -114,7 +114,7 @@ PARTS = {
               FROM sales GROUP BY stock_code) s
         JOIN products p ON p.stock_code = s.stock_code"""),
     "ledger": ("policy", """
-        SELECT stock_code, -1 AS i, d * 84 AS closing, -1 AS due, 0.0 AS sold, 0 AS ordered FROM policy
+        SELECT stock_code, -1 AS i, d * 84 AS closing, -1 AS due, 0::DOUBLE AS sold, 0 AS ordered FROM policy
         UNION ALL
         SELECT stock_code, i, closing, CASE WHEN closing <= rop AND due <= i THEN i + lead ELSE due END,
                sold, CASE WHEN closing <= rop AND due <= i THEN 1 ELSE 0 END
@@ -223,12 +223,17 @@ PARTS = {
         FROM levelled"""),
     "impact": ("risk", """
         SELECT r AS revenue_at_risk, f AS forecast_revenue_28d, v AS inventory_value, c AS capital_locked,
-               c * 0.70 AS working_capital_saved, r * 0.85 AS potential_sales_increase,
-               c * 0.20 / 12 AS overstock_cost_monthly, r * 1.5 AS stockout_cost,
-               r * 0.85 - r * 1.5 + c * 0.70 AS expected_profit_improvement,
+               round_even(c * 0.70::DOUBLE * 100, 0) / 100 AS working_capital_saved,
+               round_even(r * 0.85::DOUBLE * 100, 0) / 100 AS potential_sales_increase,
+               round_even(c * 0.20::DOUBLE / 12 * 100, 0) / 100 AS overstock_cost_monthly,
+               round_even(r * 1.5::DOUBLE * 100, 0) / 100 AS stockout_cost,
+               round_even((r * 0.85::DOUBLE - r * 1.5::DOUBLE + c * 0.70::DOUBLE) * 100, 0) / 100
+                   AS expected_profit_improvement,
                critical_stockout_count, high_stockout_count, overstock_count, healthy_count, total_skus
-        FROM (SELECT sum(revenue_at_risk) AS r, sum(forecast_revenue) AS f, sum(inventory_value) AS v,
-                     sum(capital_locked) AS c,
+        FROM (SELECT sum(revenue_at_risk::DECIMAL(24, 2))::DOUBLE AS r,
+                     sum(forecast_revenue::DECIMAL(24, 2))::DOUBLE AS f,
+                     sum(inventory_value::DECIMAL(24, 2))::DOUBLE AS v,
+                     sum(capital_locked::DECIMAL(24, 2))::DOUBLE AS c,
                      count(*) FILTER (risk_level = 'Critical Stockout Risk') AS critical_stockout_count,
                      count(*) FILTER (risk_level = 'High Stockout Risk') AS high_stockout_count,
                      count(*) FILTER (risk_level LIKE '%Overstock%') AS overstock_count,
@@ -296,8 +301,12 @@ def with_parts(names: str, select: str) -> str:
 
 
 def rounded(select: str, places: dict[int, str]) -> str:
-    """Round the named columns; ``places`` maps decimals to space-separated names."""
+    """Round the named columns half to even; ``places`` maps decimals to column names.
+
+    Adding 0.0 turns a rounded -0.0 into 0.0.
+    """
     changes = [
-        f"round({c}, {n}) AS {c}" for n, names in places.items() for c in names.split()
+        f"round_even({c} * 1e{n}, 0) / 1e{n} + 0.0 AS {c}"
+        for n, names in places.items() for c in names.split()
     ]
     return f"SELECT * REPLACE ({', '.join(changes)}) FROM ({select})"

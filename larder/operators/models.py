@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
@@ -74,6 +78,22 @@ def predict(df: DataFrame, model: PipelineModel) -> DataFrame:
     )
 
 
+def _fit_all(train: DataFrame, rules: ForecastRules) -> dict[str, PipelineModel]:
+    """Fit the models side by side, so their many short jobs fill the cluster."""
+
+    def fit(name: str) -> PipelineModel | None:
+        try:
+            return fit_model(train, name, rules)
+        except Exception as error:  # noqa: BLE001 - reported, and the model is left out
+            warnings.warn(f"{name} left out: {error}", stacklevel=2)
+            return None
+
+    with ThreadPoolExecutor(max_workers=max(1, len(rules.models))) as pool:
+        run = inheritable_thread_target(train.sparkSession)(fit)
+        fitted = dict(zip(rules.models, pool.map(run, rules.models)))
+    return {name: model for name, model in fitted.items() if model is not None}
+
+
 def cross_validate(
     features: DataFrame, rules: ForecastRules = ForecastRules()
 ) -> DataFrame:
@@ -87,36 +107,28 @@ def cross_validate(
     needed = list(dict.fromkeys([*_KEYS, *feature_names(rules)]))
     table = features.select(*[c for c in needed if c in features.columns]).persist()
     folds = cv_folds(table, rules.folds, rules.horizon, rules.min_train_days).collect()
-    results = []
+    columns, results = (*METRICS, "MdAPE"), []
     try:
         for fold in sorted(folds, key=lambda f: f["fold"]):
             train = table.where(F.col("date") <= F.lit(fold["train_end"]))
             test = table.where(F.col("date").between(fold["test_start"], fold["test_end"]))
             actual = F.greatest(F.col("quantity"), F.lit(0.0)).alias("actual")
-            outcome = {
-                NAIVE: seasonal_naive(train, test).select("predicted", actual)
-            }
-            for name in rules.models:
-                try:
-                    model = fit_model(train, name, rules)
-                except Exception as error:  # noqa: BLE001 - reported, and the model is skipped
-                    print(f"{name} left out of fold {fold['fold']}: {error}")
-                    continue
+            fitted = _fit_all(train, rules)
+            outcome = {NAIVE: seasonal_naive(train, test).select("predicted", actual)}
+            for name, model in fitted.items():
                 scored = model.transform(model_input(test, feature_names(rules)))
                 outcome[name] = scored.select(
                     F.greatest(F.col("prediction"), F.lit(0.0)).alias("predicted"),
                     F.col("target").alias("actual"),
                 )
-            for name, rows in outcome.items():
-                keyed = rows.withColumns({"model": F.lit(name), "fold": F.lit(fold["fold"])})
-                # One row per model and fold.
-                results += forecast_metrics(keyed, ["model", "fold"]).collect()
+            keyed = [rows.withColumn("model", F.lit(name)) for name, rows in outcome.items()]
+            # One row per model.
+            metrics = forecast_metrics(reduce(DataFrame.unionByName, keyed), ["model"])
+            results += [(row["model"], fold["fold"], *(row[m] for m in columns)) for row in metrics.collect()]
     finally:
         table.unpersist()
-    schema = "model string, fold int, " + ", ".join(f"{m} double" for m in (*METRICS, "MdAPE"))
-    columns = ("model", "fold", *METRICS, "MdAPE")
-    rows = [tuple(row[c] for c in columns) for row in results]
-    return features.sparkSession.createDataFrame(rows, schema)
+    schema = "model string, fold int, " + ", ".join(f"{m} double" for m in columns)
+    return features.sparkSession.createDataFrame(results, schema)
 
 
 def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:

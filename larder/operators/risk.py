@@ -144,9 +144,17 @@ def by_priority(risk: DataFrame) -> DataFrame:
 
 
 def business_impact(risk: DataFrame, rules: RiskRules = RiskRules()) -> DataFrame:
-    """Money and count totals over all products, one row."""
+    """Money and count totals over all products, one row.
+
+    The amounts have two places, so they are summed as decimals: the totals
+    do not depend on the order in which partitions arrive.
+    """
     level = F.col("risk_level")
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0.0))
+
+    def total(amount: str) -> Column:
+        exact = F.sum(F.col(amount).cast("decimal(24,2)"))
+        return F.coalesce(exact.cast("double"), F.lit(0.0))
+
     sums = risk.agg(
         total("revenue_at_risk").alias("at_risk"),
         total("forecast_revenue").alias("forecast"),

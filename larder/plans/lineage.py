@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +28,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably, so later steps read one fixed result."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to shared storage and read it back, so later steps see one fixed result.
+
+    A written table survives lost executors like a checkpoint does, takes one
+    pass instead of two, and is read back by column.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/pinned-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -42,7 +42,11 @@ def read_raw_lines(
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: str, format: str = "parquet", required: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: str | T.StructType,
+    format: str = "parquet",
+    required: bool = True,
 ) -> DataFrame:
     """A stored table with its declared schema.
 
