@@ -359,7 +359,8 @@ def _(shop):
 
 
 @query("ewma_features", {6: "qty_ewma_28 qty_ewma_7_to_28"}, "sales", """
-    SELECT stock_code, date, qty_ewma_28, qty_ewma_7 / nullif(qty_ewma_28, 0) AS qty_ewma_7_to_28
+    SELECT stock_code, date, qty_ewma_28,
+           CASE WHEN qty_ewma_28 > 1e-9 THEN qty_ewma_7 / qty_ewma_28 END AS qty_ewma_7_to_28
     FROM (SELECT a.stock_code, a.date,
                  CASE WHEN a.n > 3 THEN sum(b.quantity * pow(1 - 2 / 8.0, a.n - 1 - b.n))
                       / sum(pow(1 - 2 / 8.0, a.n - 1 - b.n)) END AS qty_ewma_7,
@@ -373,12 +374,13 @@ def _(shop):
     """The short mean is shown against the long one.
 
     Its weights are powers of 3/4, so on whole units its plain value often lies
-    exactly between two roundings, where the last bit decides.
+    exactly between two roundings, where the last bit decides. Years after the
+    last sale both means are as good as 0 and there is no ratio.
     """
     short, long = F.col("qty_ewma_7"), F.col("qty_ewma_28")
     return feats.add_ewma(shop.sales).select(
         "stock_code", "date", "qty_ewma_28",
-        F.try_divide(short, long).alias("qty_ewma_7_to_28"),
+        F.when(long > 1e-9, short / long).alias("qty_ewma_7_to_28"),
     )
 
 

@@ -30,6 +30,16 @@ def title_case(text: Column) -> Column:
     return F.when(text.rlike(_NOT_PLAIN), general).otherwise(F.initcap(text))
 
 
+def title_key(text: Column) -> Column:
+    """Lower-case text that is equal exactly when the title cases are equal.
+
+    Letters outside ASCII may change length with their case, so those texts go
+    through the title case itself.
+    """
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    return F.when(ascii_only, F.lower(text)).otherwise(F.lower(title_case(text)))
+
+
 def product_category(description: Column, code: Column) -> Column:
     """Category from description keywords, else from the stock-code prefix."""
     upper = F.upper(description)
