@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from larder.config import RISK_LEVELS, WEEKDAYS
-from larder.functions.numbers import flag
 from larder.operators.ordered import bucket_counts, exact_median
 from larder.operators.risk import by_priority
 
@@ -159,7 +158,6 @@ def executive_kpis(by_day: DataFrame, by_product: DataFrame, products: DataFrame
         F.avg("total_revenue").alias("avg_daily_revenue"),
         F.min(F.struct((-F.col("total_revenue")).alias("r"), "date"))["date"].alias("peak_day"),
         (F.sum("promo_days") / F.sum("sku_count") * 100).alias("promo_pct"),
-        F.lit(1).alias("_one"),
     )
     a_revenue = F.sum(F.when(F.col("abc_class") == "A", F.col("total_revenue")).otherwise(0.0))
     shares = (
@@ -172,10 +170,11 @@ def executive_kpis(by_day: DataFrame, by_product: DataFrame, products: DataFrame
             (a_revenue / F.sum("total_revenue") * 100).alias("a_revenue_pct"),
             F.countDistinct("category").alias("categories"),
             F.avg("lead_time_days").alias("avg_lead_days"),
-            F.lit(1).alias("_one"),
         )
     )
-    return days.join(shares, "_one").drop("_one")
+    return days.withColumn("_shares", shares.select(F.struct("*")).scalar()).select(
+        *days.columns, "_shares.*"
+    )
 
 
 def calendar_kpis(calendar: DataFrame) -> DataFrame:
@@ -191,16 +190,15 @@ def calendar_kpis(calendar: DataFrame) -> DataFrame:
 
 def inventory_kpis(stock: DataFrame, latest: DataFrame) -> DataFrame:
     """Value, cover, reorder events over all days, empty and low products."""
-    events = stock.agg(F.sum("reorder_triggered").alias("reorder_events"), F.lit(1).alias("_one"))
+    events = stock.agg(F.sum("reorder_triggered")).scalar()
     now = latest.agg(
         F.count(F.lit(1)).alias("skus_tracked"),
         F.sum("inventory_value").alias("total_value"),
         F.avg("coverage_days").alias("avg_coverage_days"),
         F.count_if(F.col("closing_inventory") <= 0).alias("zero_stock_skus"),
         F.count_if(F.col("closing_inventory") <= F.col("reorder_point")).alias("below_reorder"),
-        F.lit(1).alias("_one"),
     )
-    return now.join(events, "_one").drop("_one")
+    return now.withColumn("reorder_events", events)
 
 
 def dead_stock(latest: DataFrame) -> DataFrame:
