@@ -3,6 +3,10 @@
 The stage tables are built from the raw tables under their own ``build_*``
 entries; the queries then read them, as they would after a full run. Queries
 that start from the raw tables do so here too.
+
+BENCH_QUERIES (comma-separated names) limits the run to some queries.
+BENCH_WIDE=1 makes the full run on 25 times as many products (about 4 M
+product-days).
 """
 
 from __future__ import annotations
@@ -60,9 +64,10 @@ def main() -> None:
     details = {}
     if not os.environ.get("BENCH_QUERIES"):
         begin = time.perf_counter()
-        raw = tpch.invoice_lines(spark, folder)
+        wide = os.environ.get("BENCH_WIDE") == "1"
+        raw = tpch.invoice_lines(spark, folder, by_brand=wide)
         summary = full_run(
-            raw, tpch.supply_terms(spark, folder), tempfile.mkdtemp(prefix="larder-bench-"),
+            raw, tpch.supply_terms(spark, folder, wide), tempfile.mkdtemp(prefix="larder-bench-"),
             Settings(cleaning=tpch.RULES),
             holidays=tpch.holidays(date_span(raw.select(raw.invoice_date.cast("date").alias("date")))),
         ).first()

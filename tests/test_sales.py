@@ -144,7 +144,7 @@ def test_calendar_edges(spark):
 def test_whole_sales_table_sums_units(spark):
     rng = np.random.default_rng(1)
     rows = [(f"k{rng.integers(5)}", day(int(rng.integers(40))), float(q), 2.0 * q, 2.0, str(i), "c")
-            for i, q in enumerate(rng.integers(1, 9, 200))]
+            for i, q in enumerate(rng.integers(1, 9, 200).tolist())]
     tx = spark.createDataFrame(
         rows, "stock_code string, date date, quantity double, revenue double, unit_price double, "
               "invoice_no string, customer_id string")
