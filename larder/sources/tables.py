@@ -11,10 +11,6 @@ from pyspark.sql import types as T
 from larder.functions.numbers import nan_to_null
 from larder.operators.cleaning import canonical_names
 
-# What a UTF-8 decoder puts in place of bytes it cannot read.
-_UNREADABLE = "�"
-
-
 def _csv(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8"):
     return (
         spark.read.option("header", True)
@@ -36,7 +32,7 @@ def read_raw_lines(
     """
     if encoding is None:
         lines = spark.read.text(path if isinstance(path, str) else list(path))
-        broken = lines.where(F.col("value").contains(_UNREADABLE)).limit(1)
+        broken = lines.where(~F.is_valid_utf8("value")).limit(1)
         encoding = "ISO-8859-1" if not broken.isEmpty() else "UTF-8"
     return canonical_names(_csv(spark, path, encoding))
 
@@ -91,9 +87,8 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 
 def preview(spark: SparkSession, path: str, rows: int = 200) -> DataFrame:
-    """The first rows of a raw CSV, original headers, types inferred from them only."""
-    head = _csv(spark, path).limit(rows)
-    return head
+    """The first rows of a raw CSV with its own headers, every column as text."""
+    return _csv(spark, path).limit(rows)
 
 
 def as_records(df: DataFrame, out: str = "record") -> DataFrame:
