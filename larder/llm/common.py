@@ -59,3 +59,35 @@ def map_texts(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], s
                 yield work(part)
 
     return df.mapInArrow(run, schema)
+
+
+#: Bits of an id bitmap at most, as a power of two: 2**18 rows, a few MB when broadcast.
+MOST_BITMAP_BITS = 24
+
+
+def _bit(id_: Column, bits: int) -> tuple[Column, Column]:
+    place = F.shiftrightunsigned(F.xxhash64(id_), 64 - bits)
+    return F.shiftright(place, 6), place.bitwiseAND(F.lit(63)).cast("int")
+
+
+def marked(rows: DataFrame, id_: Column, ids: DataFrame, name: str) -> DataFrame:
+    """``rows`` with a boolean that is true for all ids in ``ids`` (one column) and for few others.
+
+    A semi-join's first sieve that doesn't shuffle the rows. The bitmap of hashed ids
+    has at most ``MOST_BITMAP_BITS`` bits however many ids there are, which bounds the
+    broadcast; when it is full, more rows are true, never fewer.
+    """
+    count = ids.count()
+    bits = min(MOST_BITMAP_BITS, max(10, (16 * count).bit_length()))
+    word, place = _bit(F.col(ids.columns[0]), bits)
+    words = ids.select(word.alias("_word"), F.lit(1).cast("long").alias("_one"), place.alias("_place")).select(
+        "_word", F.expr("shiftleft(_one, _place)").alias("_mask")
+    ).groupBy("_word").agg(F.bit_or("_mask").alias("_mask"))
+    word, place = _bit(id_, bits)
+    keyed = rows.withColumns({"_at": word, "_place": place})
+    hit = F.coalesce(F.expr("getbit(_mask, _place)") == 1, F.lit(False))
+    return (
+        keyed.join(F.broadcast(words), keyed["_at"] == words["_word"], "left")
+        .withColumn(name, hit)
+        .drop("_at", "_place", "_word", "_mask")
+    )

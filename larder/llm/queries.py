@@ -10,6 +10,7 @@ from larder.llm import sql
 from larder.llm.common import table
 from larder.llm.exact_mph import exact_report
 from larder.llm.mixing import mix_documents
+from larder.llm.near_dedup import NearRules, near_groups
 
 
 def op2_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
@@ -19,12 +20,17 @@ def op2_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_hyperminhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_groups(table(spark, folder, "documents"), NearRules(width=4))
+
+
 def op10_exact_mph(spark: SparkSession, folder: str) -> DataFrame:
     return exact_report(table(spark, folder, "documents")).drop("in_history")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_entropy_mix": op2_entropy_mix,
+    "op4_hyperminhash": op4_hyperminhash,
     "op10_exact_mph": op10_exact_mph,
 }
 
