@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: A word is a run of anything but the six ASCII white-space characters.
@@ -39,7 +40,7 @@ def fresh(taken: list[str], name: str) -> str:
 
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose texts hold at most ``most`` bytes, or of one row."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     begin = held = 0
     for i, n in enumerate(sizes):
         if held and held + n > most:
@@ -91,3 +92,10 @@ def marked(rows: DataFrame, id_: Column, ids: DataFrame, name: str) -> DataFrame
         .withColumn(name, hit)
         .drop("_at", "_place", "_word", "_mask")
     )
+
+
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer's file lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

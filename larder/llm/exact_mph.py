@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from larder.llm.common import SPACES, fresh, text_or_empty
@@ -115,7 +116,7 @@ def _digest_array(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def _numbers(column: pa.ChunkedArray) -> np.ndarray:
-    return pa.compute.fill_null(column, 0).to_numpy().astype("<i8")
+    return pc.fill_null(column, 0).to_numpy().astype("<i8")
 
 
 def _index_shard(rows: pa.Table) -> pa.Table:

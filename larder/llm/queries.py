@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larder.llm import sql
-from larder.llm.common import table
+from larder.llm.common import table, tokenizer_path
+from larder.llm.compression import fit_compression, held_out, with_score
 from larder.llm.exact_mph import exact_report
 from larder.llm.mixing import mix_documents
 from larder.llm.near_dedup import NearRules, near_groups
+from larder.llm.sentencepieces import PieceModel, encoding_report
 
 
 def op2_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
@@ -20,17 +22,32 @@ def op2_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_piece_spans(spark: SparkSession, folder: str) -> DataFrame:
+    model = PieceModel.load(tokenizer_path("piece_bpe_32k.model"))
+    return encoding_report(table(spark, folder, "documents"), model)
+
+
 def op4_hyperminhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_groups(table(spark, folder, "documents"), NearRules(width=4))
 
 
+def op6_compression(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = fit_compression(docs, table(spark, folder, "labels"))
+    return with_score(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op10_exact_mph(spark: SparkSession, folder: str) -> DataFrame:
     return exact_report(table(spark, folder, "documents")).drop("in_history")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_entropy_mix": op2_entropy_mix,
+    "op3_piece_spans": op3_piece_spans,
     "op4_hyperminhash": op4_hyperminhash,
+    "op6_compression": op6_compression,
     "op10_exact_mph": op10_exact_mph,
 }
 
