@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from larder.llm import sql
 from larder.llm.common import table, tokenizer_path
 from larder.llm.compression import fit_compression, held_out, with_score
+from larder.llm.decision_list import rule_report
 from larder.llm.exact_mph import exact_report
 from larder.llm.mixing import mix_documents
 from larder.llm.near_dedup import NearRules, near_groups
@@ -39,6 +40,13 @@ def op6_compression(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_decision_list(spark: SparkSession, folder: str) -> DataFrame:
+    found = rule_report(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op10_exact_mph(spark: SparkSession, folder: str) -> DataFrame:
     return exact_report(table(spark, folder, "documents")).drop("in_history")
 
@@ -48,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_piece_spans": op3_piece_spans,
     "op4_hyperminhash": op4_hyperminhash,
     "op6_compression": op6_compression,
+    "op9_decision_list": op9_decision_list,
     "op10_exact_mph": op10_exact_mph,
 }
 
