@@ -13,6 +13,7 @@ from larder.llm.decision_list import rule_report
 from larder.llm.exact_mph import exact_report
 from larder.llm.mixing import mix_documents
 from larder.llm.near_dedup import NearRules, near_groups
+from larder.llm.secrets import secret_report
 from larder.llm.sentencepieces import PieceModel, encoding_report
 
 
@@ -40,6 +41,10 @@ def op6_compression(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_markov_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_report(table(spark, folder, "documents"))
+
+
 def op9_decision_list(spark: SparkSession, folder: str) -> DataFrame:
     found = rule_report(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return found.select(
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_piece_spans": op3_piece_spans,
     "op4_hyperminhash": op4_hyperminhash,
     "op6_compression": op6_compression,
+    "op7_markov_secrets": op7_markov_secrets,
     "op9_decision_list": op9_decision_list,
     "op10_exact_mph": op10_exact_mph,
 }
