@@ -50,3 +50,33 @@ WITH keys AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM ranked
 """
+
+#: Where a backslash goes into a text; each pattern can't overlap itself.
+_CONTROLS = (
+    r"<\\*\|", r"<\\*s>", r"<\\*/s>", r"<\\*<SYS>>", r"<\\*</SYS>>", r"<\\*unk>", r"\|\\*>", r"\[\\*INST\]", r"\[\\*/INST\]",
+)
+
+
+def _added(column: str) -> str:
+    return " + ".join(f"len(regexp_extract_all({column}, '{p}'))" for p in _CONTROLS)
+
+
+CHAT = rf"""
+WITH rows AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), placed AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS place
+  FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+       coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0)::BIGINT AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY place)) AS loss_sha256,
+       sum(length('<|im_start|>') + length(role) + {_added("role")}
+           + (length(role) - length(replace(role, chr(10), ''))) * (length('<|nl|>') - 1) + 1
+           + length(text) + {_added("text")} + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
+FROM placed GROUP BY conv_id
+"""
