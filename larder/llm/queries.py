@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,8 +15,15 @@ from larder.llm.exact_mph import exact_report
 from larder.llm.mixing import mix_documents
 from larder.llm.near_dedup import NearRules, near_groups
 from larder.llm.reply_trees import conversation_report
+from larder.llm.revisits import page_revisits
+from larder.llm.rollups import TokenTotals, withdrawn_corpus_totals
 from larder.llm.secrets import secret_report
 from larder.llm.sentencepieces import PieceModel, encoding_report
+from larder.plans.lineage import checkpoint_dir
+
+
+def op1_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    return page_revisits(spark, folder)
 
 
 def op2_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
@@ -53,6 +61,11 @@ def op7_markov_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_report(table(spark, folder, "documents"))
 
 
+def op8_token_rollups(spark: SparkSession, folder: str) -> DataFrame:
+    tables = TokenTotals(spark, f"{checkpoint_dir(spark)}/rollups-{uuid.uuid4().hex}")
+    return withdrawn_corpus_totals(spark, folder, tables)
+
+
 def op9_decision_list(spark: SparkSession, folder: str) -> DataFrame:
     found = rule_report(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return found.select(
@@ -65,17 +78,20 @@ def op10_exact_mph(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_revisits": op1_revisits,
     "op2_entropy_mix": op2_entropy_mix,
     "op3_piece_spans": op3_piece_spans,
     "op4_hyperminhash": op4_hyperminhash,
     "op5_reply_trees": op5_reply_trees,
     "op6_compression": op6_compression,
     "op7_markov_secrets": op7_markov_secrets,
+    "op8_token_rollups": op8_token_rollups,
     "op9_decision_list": op9_decision_list,
     "op10_exact_mph": op10_exact_mph,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_revisits": sql.REVISITS,
     "op2_entropy_mix": sql.MIX,
     "op5_reply_trees": sql.CHAT,
     "op10_exact_mph": sql.EXACT,

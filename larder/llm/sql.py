@@ -80,3 +80,30 @@ SELECT conv_id, count(*) AS n_turns,
            + length(text) + {_added("text")} + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
 FROM placed GROUP BY conv_id
 """
+
+REVISITS = r"""
+WITH bare AS (
+  SELECT page_id, coalesce(html, '') AS html, md5(coalesce(html, '')) AS tag,
+         regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS u
+  FROM pages
+), keyed AS (
+  SELECT page_id, html, tag,
+         regexp_replace(lower(regexp_extract(u, '^[^/?]*')), '^www[0-9]*\.|:(80|443)$', '', 'g')
+         || regexp_replace(regexp_extract(u, '^[^/?]*([^?]*)', 1), '/+$', '') AS place,
+         list_sort(list_filter(string_split(regexp_extract(u, '\?(.*)$', 1), '&'),
+                               lambda x: x <> '' AND NOT regexp_matches(x, '^utm_'))) AS query
+  FROM bare
+), named AS (
+  SELECT *, place || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END AS url FROM keyed
+), lagged AS (
+  SELECT *, lag(page_id) OVER w AS earlier, lag(tag) OVER w AS earlier_tag, lag(length(html)) OVER w AS earlier_size
+  FROM named WINDOW w AS (PARTITION BY url ORDER BY page_id)
+), judged AS (
+  SELECT *, CASE WHEN earlier IS NULL THEN 'orphan' WHEN tag = earlier_tag THEN 'resolved' ELSE 'changed' END AS outcome FROM lagged
+)
+SELECT page_id, url, outcome, earlier AS response_page_id,
+       CASE WHEN outcome = 'resolved' THEN
+         'content-length: ' || earlier_size::VARCHAR || chr(10) || 'content-type: text/html' || chr(10)
+         || 'date: not-modified ' || page_id::VARCHAR || chr(10) || 'etag: W/' || tag END AS headers
+FROM judged
+"""
