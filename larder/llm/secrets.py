@@ -160,11 +160,15 @@ def sample_counts(samples: DataFrame) -> np.ndarray:
 def gains(counts: np.ndarray, rules: MarkovRules = MarkovRules()) -> np.ndarray:
     """Log-likelihood ratio of random to ordinary for each pair of states.
 
-    Additive smoothing draws the random chain to the uniform one, so that random strings
-    of other alphabets than the samples' still look random.
+    Where pairs are rare the chains fall back: the ordinary one to how often the second
+    character occurs at all, the random one to any character, so that random strings of
+    other alphabets than the samples' still look random.
     """
-    smooth = counts + rules.smoothing
-    chance = np.log(smooth / smooth.sum(axis=2, keepdims=True))
+    any_ = np.full(STATES, 1 / STATES)
+    common = counts[1].sum(axis=0) + rules.smoothing
+    back = np.stack([any_, common / common.sum()])[:, None, :]
+    weight = rules.smoothing * STATES
+    chance = np.log((counts + weight * back) / (counts.sum(axis=2, keepdims=True) + weight))
     return chance[0] - chance[1]
 
 
