@@ -138,7 +138,8 @@ def estimated_jaccard(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b:
     used = ((a != EMPTY) | (b != EMPTY)).sum(axis=1)
     equal = ((a == b) & (a != EMPTY)).sum(axis=1)
     logs = lambda n: np.round(np.log2(np.maximum(n, 1)) * 4) / 4
-    chance = np.array([chance_agreement(float(x), float(y)) for x, y in zip(logs(size_a), logs(size_b))])
+    kinds, back = np.unique(np.stack([logs(size_a), logs(size_b)]), axis=1, return_inverse=True)
+    chance = np.array([chance_agreement(float(x), float(y)) for x, y in kinds.T])[back.ravel()] if len(used) else np.empty(0)
     share = equal / np.maximum(used, 1)
     # a register agrees by similarity, or else by chance
     return np.clip((share - chance) / np.maximum(1 - chance, 1e-9), 0, 1), used

@@ -22,7 +22,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from larder.llm.common import fresh, map_texts, marked
 from larder.llm.components import components
@@ -80,11 +80,12 @@ def _bands(rules: NearRules, batches):
 
 
 def _hopeful(rules: NearRules, regs_a, regs_b, n_a, n_b) -> np.ndarray:
-    """Which pairs may reach the similarity, by sizes and by the corrected estimate."""
-    goal = rules.percent / 100
-    estimate, used = estimated_jaccard(regs_a, regs_b, n_a, n_b)
+    """Which pairs may reach the similarity, by sizes and then by the corrected estimate."""
+    goal, ok = rules.percent / 100, 100 * np.minimum(n_a, n_b) >= rules.percent * np.maximum(n_a, n_b)
+    estimate, used = estimated_jaccard(regs_a[ok], regs_b[ok], n_a[ok], n_b[ok])
     slack = _SLACK * np.sqrt(goal * (1 - goal) / np.maximum(used, 1)) + 0.02
-    return (estimate >= goal - slack) & (100 * np.minimum(n_a, n_b) >= rules.percent * np.maximum(n_a, n_b))
+    ok[ok] = estimate >= goal - slack
+    return ok
 
 
 def _similar(rules: NearRules, a: np.ndarray, b: np.ndarray) -> bool:
@@ -147,16 +148,16 @@ def _star_links(edges: DataFrame, classes: DataFrame, texts: DataFrame, rules: N
 
 def _leftover_links(ranked: DataFrame, labels: DataFrame, texts: DataFrame, rules: NearRules) -> DataFrame:
     """Links between what a key holds outside its pivot's component and the rest of that key."""
-    named = ranked.join(labels.select(F.col("id").alias("_i"), "component"), F.col("id") == F.col("_i"), "left").drop("_i")
-    named = named.join(labels.select(F.col("id").alias("_p"), F.col("component").alias("main")), F.col("pivot") == F.col("_p"), "left").drop("_p")
+    of = lambda at, name: labels.select(F.col("id").alias(at), F.col("component").alias(name))
+    named = ranked.join(of("_i", "component"), F.col("id") == F.col("_i"), "left").join(of("_p", "main"), F.col("pivot") == F.col("_p"), "left")
     named = pin(
         named.select("key", "id", "home", F.coalesce("component", "id").alias("component"), F.coalesce("main", "pivot").alias("main"))
         .withColumn("apart", F.col("component") != F.col("main"))
     )
-    open_keys = named.filter("apart").select("key").distinct()
-    members = pin(named.join(open_keys, "key", "left_semi"))
+    members = named.join(named.filter("apart").select("key").distinct(), "key", "left_semi")
     # a document is in one block: with others of its home, leftovers apart from the rest
     people = members.groupBy("id").agg(F.first("home").alias("home"), F.first("component").alias("component"), F.max("apart").alias("apart"))
+    people = pin(people)
     crowd = people.groupBy("home", "apart").agg(F.ceil(F.count("*") / rules.block).cast("long").alias("salts"))
     blocks = pin(
         people.join(crowd, ["home", "apart"])
@@ -164,15 +165,13 @@ def _leftover_links(ranked: DataFrame, labels: DataFrame, texts: DataFrame, rule
         .select("id", "component", "apart", "block")
     )
     at = pin(members.select("key", "id").join(blocks, "id").select("key", "block", "apart").distinct())
-    pairs = pin(
+    pairs = (
         at.filter("apart").select("key", F.col("block").alias("left_block"))
         .join(at.select("key", F.col("block").alias("right_block"), F.col("apart").alias("both")), "key")
         .filter("not both or left_block <= right_block")
         .select("left_block", "right_block").distinct()
     )
-    sides = pairs.select("left_block", "right_block", F.col("left_block").alias("block")).unionByName(
-        pairs.select("left_block", "right_block", F.col("right_block").alias("block"))
-    ).distinct()
+    sides = pairs.select("left_block", "right_block", F.explode(F.array_distinct(F.array("left_block", "right_block"))).alias("block"))
     filled = blocks.join(texts, "id").select("id", "component", "block", "text").join(sides, "block").select(
         "left_block", "right_block", "id", "component", "text",
         (F.col("block") == F.col("left_block")).alias("is_left"), (F.col("block") == F.col("right_block")).alias("is_right"),
@@ -184,35 +183,33 @@ def _leftover_links(ranked: DataFrame, labels: DataFrame, texts: DataFrame, rule
     return pin(filled.groupBy("left_block", "right_block").applyInArrow(compare, "a long, b long"))
 
 
-def near_links(classes: DataFrame, docs: DataFrame, rules: NearRules) -> DataFrame:
-    """Confirmed links (a, b) between ``classes`` (id, n_shingles, sketch) that join all that are similar.
+def near_links(classes: DataFrame, docs: DataFrame, rules: NearRules) -> tuple[DataFrame, DataFrame]:
+    """Components of ``classes`` (id, n_shingles, sketch, set_hash) by most links, and the links between those that are left.
 
-    Links within a component that is already joined may be left out.
+    Links inside a component that is already joined may be left out of the second.
     """
     bands = pin(classes.select("id", "sketch").mapInArrow(partial(_bands, rules), "key long, id long"))
-    shared = bands.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    multi = pin(bands.join(pin(shared), "key"))
-    score = pin(multi.groupBy("id").agg(F.sum("size").alias("score")))
-    scored = pin(multi.join(score, "id"))
+    shared = pin(bands.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"))
+    own = Window.partitionBy("id")  # a document has one row per band
+    scored = pin(bands.join(shared, "key").withColumn("score", F.sum("size").over(own)))
     pivots = pin(
         scored.groupBy("key").agg(
             (-F.max(F.struct("score", (-F.col("id")).alias("minus"))).getField("minus")).alias("pivot"),
             F.min(F.struct(F.xxhash64("id", "key").alias("draw"), "id")).getField("id").alias("other"),
         )
     )
-    ranked = scored.join(pivots, "key")
-    home = pin(ranked.groupBy("id").agg(F.max(F.struct("size", "pivot")).getField("pivot").alias("home")))
-    ranked = pin(ranked.join(home, "id").select("key", "id", "pivot", "other", "home"))
-    toward = lambda name: ranked.select(F.least("id", name).alias("a"), F.greatest("id", name).alias("b"))
-    edges = pin(toward("pivot").unionByName(toward("other")).filter("a <> b").distinct())
-
+    home = F.max(F.struct("size", "pivot")).over(own).getField("pivot")
+    ranked = pin(scored.join(pivots, "key").withColumn("home", home).select("key", "id", "pivot", "other", "home"))
+    toward = F.explode(F.array("pivot", "other")).alias("to")
+    edges = pin(
+        ranked.select("id", toward).select(F.least("id", "to").alias("a"), F.greatest("id", "to").alias("b")).filter("a <> b").distinct()
+    )
+    wanted = pin(ranked.select("id").distinct())
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    sieved = marked(rows, F.col("id"), score.select("id"), "_wanted").filter("_wanted").select("id", "text")
-    texts = pin(_texts_of(sieved, score, classes, rules))
-    links = _star_links(edges, classes, texts, rules)
-    labels = pin(components(links))
-    more = _leftover_links(ranked, labels, texts, rules)
-    return links.unionByName(more)
+    sieved = marked(rows, F.col("id"), wanted, "_wanted").filter("_wanted").select("id", "text")
+    texts = pin(_texts_of(sieved, wanted, classes, rules))
+    labels = pin(components(_star_links(edges, classes, texts, rules)))
+    return labels, _leftover_links(ranked, labels, texts, rules)
 
 
 def _texts_of(rows: DataFrame, wanted: DataFrame, classes: DataFrame, rules: NearRules) -> DataFrame:
@@ -244,12 +241,10 @@ def near_groups(docs: DataFrame, rules: NearRules = NearRules()) -> DataFrame:
             F.min("doc_id").alias("id"), F.min_by(F.struct("n_shingles", "sketch"), "doc_id").alias("own"), F.count("*").alias("copies")
         ).select("set_hash", "id", F.col("own.n_shingles").alias("n_shingles"), F.col("own.sketch").alias("sketch"), "copies")
     )
-    links = near_links(sets.select("id", "n_shingles", "sketch", "set_hash").dropDuplicates(["id"]), docs, rules)
+    first, links = near_links(sets.select("id", "n_shingles", "sketch", "set_hash").dropDuplicates(["id"]), docs, rules)
     # an id that repeats with other texts joins their classes
-    ids = linked.join(sets.filter("copies > 1").select("set_hash", F.col("id").alias("class_id")), "set_hash").select(
-        F.col("class_id").alias("a"), F.col("doc_id").alias("b")
-    )
-    labels = pin(components(pin(links.unionByName(ids.filter("a <> b").distinct()))))
+    twins = linked.join(sets.filter("copies > 1").select("set_hash", F.col("id").alias("a")), "set_hash").select("a", F.col("doc_id").alias("b"))
+    labels = _joined_labels(first, links.unionByName(twins.filter("a <> b").distinct()))
     return (
         rows.join(labels, rows["doc_id"] == labels["id"], "left")
         .withColumn("component_id", F.coalesce("component", "doc_id"))
@@ -257,6 +252,16 @@ def near_groups(docs: DataFrame, rules: NearRules = NearRules()) -> DataFrame:
     )
 
 
+def _joined_labels(first: DataFrame, links: DataFrame) -> DataFrame:
+    """The components of ``first`` (id, component) after ``links`` (a, b) join some of them."""
+    name = lambda at: first.select(F.col("id").alias(f"_{at}"), F.col("component").alias(f"of_{at}"))
+    between = links.join(name("a"), F.col("a") == F.col("_a"), "left").join(name("b"), F.col("b") == F.col("_b"), "left")
+    joined = pin(components(pin(between.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))))
+    over = joined.select(F.col("id").alias("_old"), F.col("component").alias("_new"))
+    renamed = first.join(over, F.col("component") == F.col("_old"), "left").select("id", F.coalesce("_new", "component").alias("component"))
+    return pin(renamed.unionByName(joined.join(first, "id", "left_anti")).groupBy("id").agg(F.min("component").alias("component")))
+
+
 def drop_near(docs: DataFrame, rules: NearRules = NearRules()) -> DataFrame:
     """``docs`` with one document of each group, the one of smallest doc_id; columns as they came.
 
