@@ -18,9 +18,10 @@ from larder.functions.numbers import half_even
 from larder.functions.text import product_category, title_case
 from larder.operators import baselines, evaluation, features as feats, folds, forecast, models, quality
 from larder.operators.calendar import build_calendar
-from larder.operators.cleaning import clean_transactions
+from larder.operators.cleaning import clean_transactions, rejected_lines
 from larder.operators.daily import build_sales_daily, daily_sales, flag_promotions
 from larder.operators.ordered import bucket_counts, last_rows
+from larder.operators.products import most_common
 from larder.operators.risk import add_forecast_revenue, impact_waterfall, risk_inputs, score_products
 from larder.operators.stock import reorder_list, reorder_policy
 from larder.plans import lookups, reports
@@ -140,6 +141,90 @@ def _(shop):
     return quality.quality_overview(shop.raw)
 
 
+_TEXT_LINES = """
+    SELECT l_orderkey::VARCHAR AS invoice_no, ' ' || lower(p_name) || ' ' AS stock_code,
+           CASE WHEN l_linenumber % 5 <> 0 THEN p_name END AS description, l_orderkey AS k,
+           l_quantity::INT AS quantity, round(l_extendedprice / l_quantity)::INT AS unit_price, l_shipdate::DATE AS day
+    FROM lineitem JOIN part ON l_partkey = p_partkey"""
+
+
+def _text_lines(shop) -> DataFrame:
+    """The benchmark's lines as a careless export writes them: all text, some of it broken."""
+    lines = shop.table("lineitem").join(shop.table("part"), F.col("l_partkey") == F.col("p_partkey"))
+    key, day = F.col("l_orderkey"), F.col("l_shipdate").cast("timestamp")
+
+    def written(number, modulus):
+        text = number.cast("int").cast("string")
+        forms = {0: F.lit("NaN"), 1: F.lit(""), 2: F.concat(text, F.lit("d")), 3: F.lit("nan"),
+                 4: F.concat(F.lit("  "), text, F.lit(" ")), 5: F.concat(F.lit("-"), text), 6: F.concat(text, F.lit("e0"))}
+        choice = text
+        for rest, form in forms.items():
+            choice = F.when(key % modulus == rest, form).otherwise(choice)
+        return choice
+
+    when = (
+        F.when(key % 17 == 0, F.date_format(day, "dd.MM.yyyy"))
+        .when(key % 3 == 0, F.date_format(day, "M/d/yyyy H:mm"))
+        .when(key % 3 == 1, F.date_format(day, "yyyy-MM-dd HH:mm:ss"))
+        .otherwise(F.date_format(day, "yyyy-MM-dd"))
+    )
+    return lines.select(
+        key.cast("string").alias("invoice_no"), F.concat(F.lit(" "), F.lower("p_name"), F.lit(" ")).alias("stock_code"),
+        F.when(F.col("l_linenumber") % 5 != 0, F.col("p_name")).alias("description"),
+        written(F.col("l_quantity"), 19).alias("quantity"), when.alias("invoice_date"),
+        written(F.round(F.col("l_extendedprice") / F.col("l_quantity")), 23).alias("unit_price"),
+    )
+
+
+_BROKEN = "k % 17 = 0", "k % 19 IN (0, 1, 2, 3, 5)", "k % 23 IN (0, 1, 2, 3, 5)"
+
+
+@query("clean_text_tx", None, "", f"""
+    SELECT DISTINCT invoice_no, upper(trim(stock_code)) AS stock_code,
+           CASE WHEN description IS NULL THEN 'Nan' ELSE array_to_string(list_transform(
+               string_split(lower(trim(description)), ' '), lambda w: upper(w[1]) || w[2:]), ' ') END AS description,
+           quantity::DOUBLE AS quantity, unit_price::DOUBLE AS unit_price, day AS date,
+           (quantity * unit_price)::DOUBLE AS revenue
+    FROM ({_TEXT_LINES}) WHERE NOT ({' OR '.join(_BROKEN)})""")
+def _(shop):
+    rules = CleaningRules(country=None)
+    return clean_transactions(_text_lines(shop), rules).drop("invoice_date")
+
+
+@query("rejected_lines", None, "", f"""
+    SELECT reason, count(*) AS line_count FROM (
+        SELECT CASE WHEN {_BROKEN[0]} THEN 'unreadable_date' WHEN {_BROKEN[1]} THEN 'quantity_not_positive'
+                    WHEN {_BROKEN[2]} THEN 'price_not_positive' END AS reason FROM ({_TEXT_LINES}))
+    WHERE reason IS NOT NULL GROUP BY reason""")
+def _(shop):
+    return rejected_lines(_text_lines(shop), CleaningRules(country=None))
+
+
+@query("schema_report", None, "", """
+    SELECT column1 AS required_column, column2 AS status, column3 AS matched_as FROM (
+        SELECT unnest(['InvoiceNo', 'StockCode', 'Description', 'Quantity', 'InvoiceDate', 'UnitPrice', 'CustomerID', 'Country']) AS column1,
+               unnest(['Missing', 'Found', 'Found', 'Found', 'Found', 'Found', 'Found', 'Missing']) AS column2,
+               unnest([NULL, 'stock_code', 'product_name', 'qty', 'date', 'unit_price', 'cust_id', NULL]) AS column3)
+    WHERE (SELECT count(*) FROM lineitem) > 0""")
+def _(shop):
+    names = {"invoice_no": "number", "description": "product_name", "quantity": "qty", "invoice_date": "date",
+             "customer_id": "cust_id", "country": "land"}
+    return quality.schema_report(shop.raw.withColumnsRenamed(names))
+
+
+@query("description_mode", None, "", """
+    SELECT stock_code, description FROM (
+        SELECT stock_code, description, row_number() OVER (PARTITION BY stock_code ORDER BY n DESC, description) AS nth
+        FROM (SELECT p_brand AS stock_code, p_name AS description, count(*) AS n
+              FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand, p_name)) WHERE nth = 1""")
+def _(shop):
+    """Brands sell parts of many names, so this has real modes and ties."""
+    lines = shop.table("lineitem").select("l_partkey")
+    parts = shop.table("part").select("p_partkey", F.col("p_brand").alias("stock_code"), "p_name")
+    sold = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    return most_common(sold, "stock_code", "p_name", "description")
+
+
 @query("missing_report", {2: "null_pct"}, "roll", """
     SELECT 'stock_code' AS column_name, count(*) FILTER (stock_code IS NULL) AS null_count,
            count(*) FILTER (stock_code IS NULL) / count(*) * 100 AS null_pct, 'string' AS dtype FROM roll
@@ -411,7 +496,7 @@ def _(shop):
     FROM (SELECT *, row_number() OVER (PARTITION BY stock_code ORDER BY date) AS n FROM sales)
     WINDOW w AS (PARTITION BY stock_code ORDER BY date ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING)""")
 def _(shop):
-    return shop.history.select("stock_code", "date", *feats.slope_columns())
+    return shop.history.select("stock_code", "date", "demand_trend_slope", "revenue_trend")
 
 
 @query("fourier_features", {6: "sin_week cos_week sin_year cos_year"}, "calendar", """
@@ -480,9 +565,46 @@ def _(shop):
     )
 
 
-@query("feature_table")
-def _(shop):
-    return shop.features
+# The parts of the feature table that have their own SQL, and what is missing there counts as 0.
+_FEATURE_PARTS = (
+    "feat_join", "lag_features", "rolling_features", "price_features", "momentum_features", "trend_slope",
+    "lifecycle_features", "inventory_features", "encodings",
+)
+
+
+def _feature_table_query() -> None:
+    places: dict[int, list[str]] = {}
+    names: list[str] = []
+    for part in _FEATURE_PARTS:
+        for n, text in QUERIES[part].places.items():
+            places.setdefault(n, []).extend(text.split())
+        names += [c for c in _FEATURE_COLUMNS[part].split() if c not in names]
+    plain = ("stock_code", "date", "quantity", "season", "category", "abc_class")
+    fields = ", ".join(c if c in plain else f"coalesce({c}, 0) AS {c}" for c in names)
+    joins = " ".join(f"JOIN ({QUERIES[p].sql}) {p} USING (stock_code, date)" for p in _FEATURE_PARTS[1:])
+    text = f"SELECT {fields} FROM ({QUERIES[_FEATURE_PARTS[0]].sql}) {_FEATURE_PARTS[0]} {joins}"
+    QUERIES["feature_table"] = Query(
+        lambda shop: shop.features.select(*names), {n: " ".join(x) for n, x in places.items()}, text
+    )
+
+
+_FEATURE_COLUMNS = {
+    "feat_join": "stock_code date quantity revenue unit_price week_of_year season is_holiday category abc_class "
+                 "lead_time_days sku_avg_price closing_inventory reorder_triggered inventory_value",
+    "lag_features": " ".join(_LAGS),
+    "rolling_features": " ".join(
+        f"{name}_roll_{stat}_{width}" for name, widths in (("quantity", (7, 14, 28, 56)), ("revenue", (7, 28)))
+        for width in widths for stat in ("mean", "median", "std")),
+    "price_features": "price_change_7d price_vs_avg promotion_lag1 promotion_roll7",
+    "momentum_features": "demand_momentum demand_volatility demand_acceleration revenue_vs_28d_avg",
+    "trend_slope": "demand_trend_slope revenue_trend",
+    "lifecycle_features": "is_new_product is_mature_product cumulative_qty",
+    "inventory_features": "stock_turnover_28 coverage_vs_lead inv_above_rop days_of_supply",
+    "encodings": "abc_encoded season_autumn season_spring season_summer season_winter category_encoded dow_encoded",
+}
+
+
+_MOMENTUM = ("revenue", "unit_price", "demand_momentum", "demand_volatility", "revenue_vs_28d_avg")
 
 
 @query("target_correlation", {6: "correlation"}, "momentum", """
@@ -507,6 +629,18 @@ def _(shop):
     return quality.correlation_matrix(shop.by_product, ["total_revenue", "total_quantity"])
 
 
+@query("correlation_chain", {6: "correlation"}, "momentum", f"""
+    WITH pairs AS ({' UNION ALL '.join(
+        f"SELECT '{a}' AS x, '{b}' AS y, corr({a}, {b}) AS correlation FROM momentum"
+        for a in ("quantity", *_MOMENTUM) for b in ("quantity", *_MOMENTUM))}),
+    strongest AS (SELECT y AS name FROM pairs WHERE x = 'quantity' AND y <> 'quantity'
+                  ORDER BY abs(correlation) DESC, y LIMIT 3)
+    SELECT x, y, correlation FROM pairs
+    WHERE (x = 'quantity' OR x IN (SELECT name FROM strongest)) AND (y = 'quantity' OR y IN (SELECT name FROM strongest))""")
+def _(shop):
+    return quality.strongest_matrix(shop.history, "quantity", list(_MOMENTUM), 3)
+
+
 @query("feature_stats", {4: "mean std min max", 2: "null_pct"}, "roll", """
     SELECT 'quantity' AS feature, count(*) AS n, avg(quantity) AS mean, stddev_samp(quantity) AS std,
            min(quantity) AS min, max(quantity) AS max, 0.0 AS null_pct FROM roll
@@ -516,6 +650,14 @@ def _(shop):
     return quality.column_stats(shop.history, ["quantity", "quantity_roll_mean_28"])
 
 
+_feature_table_query()
+
+
+@query("full_feature_table")
+def _(shop):
+    return shop.features
+
+
 # Stock -----------------------------------------------------------------------------
 
 @query("reorder_policy", {4: "avg_daily_demand reorder_point eoq"}, "policy",

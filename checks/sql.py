@@ -243,7 +243,8 @@ PARTS = {
         SELECT date, sum(quantity) AS total_quantity, sum(revenue) AS total_revenue,
                count(*) AS sku_count, sum(is_promotion) AS promo_days FROM sales GROUP BY date"""),
     "by_product": ("sales", """
-        SELECT stock_code, sum(quantity) AS total_quantity, sum(revenue) AS total_revenue,
+        SELECT stock_code, sum(quantity) AS total_quantity,
+               sum(round(revenue, 6)::DECIMAL(28, 6))::DOUBLE AS total_revenue,
                avg(avg_unit_price) AS avg_price, max(date) FILTER (quantity > 0) AS last_sale,
                min(date) FILTER (quantity > 0) AS first_sale FROM sales GROUP BY stock_code"""),
     "fold_dates": ("sales", """

@@ -131,7 +131,7 @@ class ForecastRules:
     checkpoint_every: int = 7
     # None means the published 84-feature list.
     features: tuple[str, ...] | None = None
-    models: tuple[str, ...] = ("RandomForest", "GradientBoosting", "LightGBM", "XGBoost")
+    models: tuple[str, ...] = ("RandomForest", "GradientBoosting", "DeepBoosting", "SampledBoosting")
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,6 @@ All helpers take a window partitioned by the series key and ordered by date.
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
@@ -16,22 +15,21 @@ def earlier(series: WindowSpec, rows: int) -> WindowSpec:
     return series.rowsBetween(-rows, -1)
 
 
-def recent_values(value: str, series: WindowSpec, rows: int) -> Column:
-    """The last ``rows`` earlier values as an array, oldest first."""
-    return F.collect_list(value).over(earlier(series, rows))
+def slope_sums(value: str, position: str, series: WindowSpec, rows: int) -> tuple[Column, Column]:
+    """Over the last ``rows`` earlier rows: the sum of a value, and of the value times ``position``."""
+    frame = earlier(series, rows)
+    return F.sum(value).over(frame), F.sum(F.col(value) * F.col(position)).over(frame)
 
 
-def slope_of_last(values: Column, rows: int) -> Column:
-    """Least-squares slope over the last ``rows`` array entries against 0, 1, 2, ...
+def slope_of_last(total: Column, moment: Column, position: Column, rows: int) -> Column:
+    """Least-squares slope over the last ``rows`` earlier rows, from ``slope_sums``.
 
-    0 until the array holds that many. The positions are equally spaced, so the
-    slope is a fixed weighted sum.
+    ``position`` counts rows from 0; the slope is 0 while there are fewer. The
+    positions are equally spaced, so the slope is the moment about their middle.
     """
-    middle = (rows - 1) / 2
-    spread = sum((i - middle) ** 2 for i in range(rows))
-    first = F.size(values) - rows
-    terms = [F.get(values, first + i) * ((i - middle) / spread) for i in range(rows)]
-    return F.when(F.size(values) >= rows, reduce(Column.__add__, terms)).otherwise(0.0)
+    middle = position - (rows + 1) / 2
+    spread = rows * (rows * rows - 1) / 12
+    return F.when(position >= rows, (moment - middle * total) / spread).otherwise(0.0)
 
 
 def with_ewma(
@@ -46,11 +44,15 @@ def with_ewma(
     r**j. To keep the powers in range j restarts every ``block`` rows, and the
     block before is carried in; whatever lies further back weighs less than
     2**-60. So one running sum and one block sum replace a recursion per row.
+    Spans too far apart for one block length take further passes.
     """
     decays = {out: 1.0 - 2.0 / (span + 1) for out, (span, _) in spans.items()}
-    block = max(math.ceil(60 * math.log(2) / -math.log(r)) for r in decays.values())
-    if block * -math.log(min(decays.values())) > 600:
-        raise ValueError("spans this far apart need separate calls")
+    longest = max(spans, key=lambda out: decays[out])
+    block = math.ceil(60 * math.log(2) / -math.log(decays[longest]))
+    apart = {out: s for out, s in spans.items() if block * -math.log(decays[out]) > 600}
+    if apart:
+        near = {out: s for out, s in spans.items() if out not in apart}
+        return with_ewma(with_ewma(df, value, key, order, position, near), value, key, order, position, apart)
 
     offset = F.pmod(F.col(position), F.lit(block))
     power = lambda out, exponent: F.pow(F.lit(decays[out]), exponent)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from larder.config import HEADER_SPELLINGS, CleaningRules
@@ -48,6 +48,58 @@ def canonical_names(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?$"
+
+
+def _number(df: DataFrame, name: str) -> Column:
+    """A column as a double; text that is no plain number, and NaN, become null."""
+    value = F.col(name)
+    if isinstance(df.schema[name].dataType, T.StringType):
+        # The cast alone would take suffixes such as 2d.
+        value = F.when(F.trim(value).rlike(_NUMBER), F.trim(value))
+    number = value.try_cast("double")
+    return F.when(~F.isnan(number), number)
+
+
+def _parsed_time(df: DataFrame, rules: CleaningRules) -> Column:
+    if isinstance(df.schema["invoice_date"].dataType, (T.TimestampType, T.DateType)):
+        return F.col("invoice_date").cast("timestamp")
+    text = F.trim(F.col("invoice_date"))
+    return F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)) for fmt in rules.timestamp_formats])
+
+
+def _rejections(raw: DataFrame, rules: CleaningRules) -> dict[str, Column]:
+    """Why a line is left out, in order of precedence; each is true or false."""
+    code = F.col("stock_code").cast("string")
+    foreign = F.lit(False)
+    if rules.country is not None and "country" in raw.columns:
+        foreign = F.coalesce(F.col("country") != rules.country, F.lit(True))
+    above_zero = lambda name: F.coalesce(_number(raw, name) > 0, F.lit(False))
+    return {
+        "cancelled": F.coalesce(
+            F.col("invoice_no").cast("string").startswith(rules.cancel_prefix), F.lit(False)
+        ),
+        "no_stock_code": code.isNull(),
+        "not_a_product": F.coalesce(F.trim(code).isin(list(rules.excluded_codes)), F.lit(False)),
+        "other_country": foreign,
+        "unreadable_date": _parsed_time(raw, rules).isNull(),
+        "quantity_not_positive": ~above_zero("quantity"),
+        "price_not_positive": ~above_zero("unit_price"),
+    }
+
+
+def rejected_lines(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
+    """Lines that cleaning leaves out, by the first rule that applies: ``reason, line_count``.
+
+    Repeated lines are not among them. One pass; combined on the map side.
+    """
+    reason = F.coalesce(*[F.when(c, F.lit(name)) for name, c in _rejections(raw, rules).items()])
+    return (
+        raw.select(reason.alias("reason")).where(F.col("reason").isNotNull())
+        .groupBy("reason").agg(F.count(F.lit(1)).alias("line_count"))
+    )
+
+
 def clean_transactions(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
     """Apply the cleaning rules and derive ``date`` and ``revenue``.
 
@@ -57,13 +109,6 @@ def clean_transactions(raw: DataFrame, rules: CleaningRules = CleaningRules()) -
     they cannot change which rows are equal, the shuffle is smaller, and they
     cost nothing where they are not used.
     """
-    if isinstance(raw.schema["invoice_date"].dataType, (T.TimestampType, T.DateType)):
-        parsed = F.col("invoice_date").cast("timestamp")
-    else:
-        text = F.trim(F.col("invoice_date"))
-        parsed = F.coalesce(
-            *[F.try_to_timestamp(text, F.lit(fmt)) for fmt in rules.timestamp_formats]
-        )
     code = F.col("stock_code").cast("string")
     invoice = F.col("invoice_no").cast("string")
 
@@ -77,9 +122,9 @@ def clean_transactions(raw: DataFrame, rules: CleaningRules = CleaningRules()) -
 
     typed = kept.withColumns(
         {
-            "invoice_date": parsed,
-            "quantity": F.col("quantity").try_cast("double"),
-            "unit_price": F.col("unit_price").try_cast("double"),
+            "invoice_date": _parsed_time(raw, rules),
+            "quantity": _number(raw, "quantity"),
+            "unit_price": _number(raw, "unit_price"),
         }
     ).where(
         F.col("invoice_date").isNotNull() & (F.col("quantity") > 0) & (F.col("unit_price") > 0)

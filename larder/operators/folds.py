@@ -6,9 +6,20 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def recent_history(df: DataFrame, days: int = 120) -> DataFrame:
-    """Rows dated within ``days`` of the last date, both ends included."""
-    newest = df.agg(F.max("date")).scalar()
-    return df.where(F.col("date") >= F.date_sub(newest, days))
+    """Rows dated within ``days`` of the last date, both ends included.
+
+    A table stored by ``sale_month`` is cut by that column first, so neither the
+    search for the last date nor the result reads the older folders.
+    """
+    if "sale_month" not in df.columns:
+        newest = df.agg(F.max("date")).scalar()
+        return df.where(F.col("date") >= F.date_sub(newest, days))
+    last_month = df.agg(F.max("sale_month")).scalar()
+    newest = df.where(F.col("sale_month") == last_month).agg(F.max("date")).scalar()
+    first = F.date_sub(newest, days)
+    return df.where(
+        (F.col("sale_month") >= F.date_format(first, "yyyy-MM")) & (F.col("date") >= first)
+    )
 
 
 def with_min_history(df: DataFrame, rows: int = 60) -> DataFrame:

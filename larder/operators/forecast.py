@@ -17,8 +17,6 @@ from larder.operators.models import model_input, predict
 from larder.operators.ordered import latest_per_key
 from larder.plans.lineage import pin
 
-MAX_DAYS, MAX_PRODUCTS = 365, 500
-
 
 def date_parts(day: Column) -> dict[str, Column]:
     columns = calendar_columns(day)
@@ -84,17 +82,26 @@ def naive_next_days(history: DataFrame, horizon: int = 28) -> DataFrame:
     )
 
 
-def check_request(codes: Sequence[str], start: dt.date, end: dt.date) -> list[str]:
-    """Validate an ad-hoc request and drop repeated codes, keeping their order."""
+def check_request(
+    codes: Sequence[str],
+    start: dt.date,
+    end: dt.date,
+    most_days: int | None = None,
+    most_products: int | None = None,
+) -> list[str]:
+    """Validate an ad-hoc request and drop repeated codes, keeping their order.
+
+    The limits are for services that want them; without them any request is answered.
+    """
     unique = list(dict.fromkeys(codes))
     if end < start:
         raise ValueError("end date lies before start date")
     if not unique:
         raise ValueError("no stock codes given")
-    if len(unique) == 1 and (end - start).days > MAX_DAYS:
-        raise ValueError(f"a single product is limited to {MAX_DAYS} days")
-    if len(codes) > MAX_PRODUCTS:
-        raise ValueError(f"at most {MAX_PRODUCTS} products per request")
+    if most_days is not None and len(unique) == 1 and (end - start).days > most_days:
+        raise ValueError(f"a single product is limited to {most_days} days")
+    if most_products is not None and len(codes) > most_products:
+        raise ValueError(f"at most {most_products} products per request")
     return unique
 
 
@@ -108,9 +115,10 @@ def request_rows(
     with date parts only.
     """
     days = (end - start).days + 1
-    known = features.where(F.col("stock_code").isin(list(codes)))
+    asked = features.sparkSession.createDataFrame([(c,) for c in codes], "stock_code string")
+    known = features.join(asked, "stock_code", "left_semi")
     if known.isEmpty():
-        seed = features.sparkSession.createDataFrame([(c,) for c in codes], "stock_code string")
+        seed = asked
     else:
         seed = latest_per_key(known, "stock_code", "date").drop("date")
     grid = future_grid(seed, F.lit(start), days)

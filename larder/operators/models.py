@@ -8,16 +8,17 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from larder.config import ForecastRules
 from larder.operators.baselines import seasonal_naive
 from larder.operators.evaluation import METRICS, forecast_metrics
 from larder.operators.features import model_features
 from larder.operators.folds import cv_folds
+from larder.plans.lineage import pin
 
 NAIVE = "SeasonalNaive"
 _KEYS = ("stock_code", "date", "quantity", "day_of_week")
@@ -26,9 +27,9 @@ _KEYS = ("stock_code", "date", "quantity", "day_of_week")
 def estimator(name: str, seed: int = 42):
     """A model by name.
 
-    The two boosting variants stand for the leaf-wise and the regularised
-    booster: Spark ML has one booster, so they differ from plain boosting in
-    depth, leaf size and feature sampling.
+    All boosters are Spark ML's gradient-boosted trees. ``DeepBoosting`` and
+    ``SampledBoosting`` differ from the plain one in depth, leaf size and
+    feature sampling.
     """
     common = {"labelCol": "target", "featuresCol": "inputs", "seed": seed}
     if name == "RandomForest":
@@ -36,11 +37,11 @@ def estimator(name: str, seed: int = 42):
     boosting = {"maxIter": 20, "stepSize": 0.05, "subsamplingRate": 0.8} | common
     if name == "GradientBoosting":
         return GBTRegressor(maxDepth=4, **boosting)
-    if name == "LightGBM":
+    if name == "DeepBoosting":
         return GBTRegressor(
             maxDepth=5, minInstancesPerNode=20, featureSubsetStrategy="0.8", **boosting
         )
-    if name == "XGBoost":
+    if name == "SampledBoosting":
         return GBTRegressor(maxDepth=4, featureSubsetStrategy="0.8", **boosting)
     raise ValueError(f"unknown model {name!r}")
 
@@ -62,10 +63,14 @@ def model_input(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(*kept, *inputs, target.alias("target"))
 
 
+def _assembler(names: Sequence[str]) -> VectorAssembler:
+    return VectorAssembler(inputCols=list(names), outputCol="inputs", handleInvalid="keep")
+
+
 def fit_model(train: DataFrame, name: str, rules: ForecastRules = ForecastRules()) -> PipelineModel:
     names = feature_names(rules)
-    assembler = VectorAssembler(inputCols=names, outputCol="inputs", handleInvalid="keep")
-    return Pipeline(stages=[assembler, estimator(name, rules.seed)]).fit(model_input(train, names))
+    stages = [_assembler(names), estimator(name, rules.seed)]
+    return Pipeline(stages=stages).fit(model_input(train, names))
 
 
 def predict(df: DataFrame, model: PipelineModel) -> DataFrame:
@@ -78,12 +83,12 @@ def predict(df: DataFrame, model: PipelineModel) -> DataFrame:
     )
 
 
-def _fit_all(train: DataFrame, rules: ForecastRules) -> dict[str, PipelineModel]:
-    """Fit the models side by side, so their many short jobs fill the cluster."""
+def _fit_all(train: DataFrame, rules: ForecastRules) -> dict[str, Model]:
+    """Fit the models on assembled rows side by side, so their many short jobs fill the cluster."""
 
-    def fit(name: str) -> PipelineModel | None:
+    def fit(name: str) -> Model | None:
         try:
-            return fit_model(train, name, rules)
+            return estimator(name, rules.seed).fit(train)
         except Exception as error:  # noqa: BLE001 - reported, and the model is left out
             warnings.warn(f"{name} left out: {error}", stacklevel=2)
             return None
@@ -100,35 +105,48 @@ def cross_validate(
     """Metrics per model and fold, the seasonal naive forecast included.
 
     The driver loops over folds and models; each fit and each prediction is a
-    Spark job over the whole fold. Only the fold dates (one row per fold) are
+    Spark job over the whole fold. Inputs are assembled once and a fold's
+    predictions are written once. Only the fold dates (one row per fold) are
     brought to the driver, and become plain date filters. A model that fails
     is left out.
     """
     needed = list(dict.fromkeys([*_KEYS, *feature_names(rules)]))
-    table = features.select(*[c for c in needed if c in features.columns]).persist()
+    names = feature_names(rules)
+    kept = [*_KEYS, "target", "inputs"]
+    assembled = _assembler(names).transform(
+        model_input(features.select(*[c for c in needed if c in features.columns]), names)
+    )
+    table = pin(assembled.select(*[c for c in kept if c in assembled.columns]))
     folds = cv_folds(table, rules.folds, rules.horizon, rules.min_train_days).collect()
-    columns, results = (*METRICS, "MdAPE"), []
-    try:
-        for fold in sorted(folds, key=lambda f: f["fold"]):
-            train = table.where(F.col("date") <= F.lit(fold["train_end"]))
-            test = table.where(F.col("date").between(fold["test_start"], fold["test_end"]))
-            actual = F.greatest(F.col("quantity"), F.lit(0.0)).alias("actual")
-            fitted = _fit_all(train, rules)
-            outcome = {NAIVE: seasonal_naive(train, test).select("predicted", actual)}
-            for name, model in fitted.items():
-                scored = model.transform(model_input(test, feature_names(rules)))
-                outcome[name] = scored.select(
-                    F.greatest(F.col("prediction"), F.lit(0.0)).alias("predicted"),
-                    F.col("target").alias("actual"),
-                )
-            keyed = [rows.withColumn("model", F.lit(name)) for name, rows in outcome.items()]
-            # One row per model.
-            metrics = forecast_metrics(reduce(DataFrame.unionByName, keyed), ["model"])
-            results += [(row["model"], fold["fold"], *(row[m] for m in columns)) for row in metrics.collect()]
-    finally:
-        table.unpersist()
+    # One row per model and fold.
+    metrics = [
+        forecast_metrics(pin(fold_predictions(table, fold, rules)), ["model", "fold"])
+        for fold in sorted(folds, key=lambda f: f["fold"])
+    ]
+    columns = (*METRICS, "MdAPE")
     schema = "model string, fold int, " + ", ".join(f"{m} double" for m in columns)
-    return features.sparkSession.createDataFrame(results, schema)
+    rows = [tuple(row[c] for c in ("model", "fold", *columns)) for m in metrics for row in m.collect()]
+    return features.sparkSession.createDataFrame(rows, schema)
+
+
+def fold_predictions(table: DataFrame, fold: Row, rules: ForecastRules) -> DataFrame:
+    """``model, fold, stock_code, date, actual, predicted`` of every model for one fold.
+
+    ``table`` has assembled ``inputs``, so no model assembles them again.
+    """
+    train = table.where(F.col("date") <= F.lit(fold["train_end"]))
+    test = table.where(F.col("date").between(fold["test_start"], fold["test_end"]))
+    keys, actual = ("stock_code", "date"), F.col("target").alias("actual")
+    naive = seasonal_naive(train, test)
+    outcome = {NAIVE: naive.select(*keys, F.greatest("quantity", F.lit(0.0)).alias("actual"), "predicted")}
+    for name, model in _fit_all(train, rules).items():
+        predicted = F.greatest(F.col("prediction"), F.lit(0.0)).alias("predicted")
+        outcome[name] = model.transform(test).select(*keys, actual, predicted)
+    keyed = [
+        rows.withColumns({"model": F.lit(name), "fold": F.lit(fold["fold"]).cast("int")})
+        for name, rows in outcome.items()
+    ]
+    return reduce(DataFrame.unionByName, keyed)
 
 
 def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:

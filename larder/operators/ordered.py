@@ -38,19 +38,22 @@ def running_total(df: DataFrame, order: list[Column], value: str, out: str, tota
     )
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
+def exact_median(
+    df: DataFrame, keys: list[str], value: str, out: str, count: str | None = None
+) -> DataFrame:
     """Exact median of ``value`` per key, without gathering a key in one task.
 
     Equal values are counted first. The counts are then summed into value
     buckets, the bucket holding each middle rank is found from the bucket
     counts, and only the values in that bucket are ordered. Keys without a
-    non-null value are absent from the result.
+    non-null value are absent from the result; NaN counts as no value. A row
+    stands for as many values as its ``count`` column says, if one is named.
     """
     position = F.asinh(F.col(value).cast("double")) * float(2**_FINE_BITS)
     counted = (
-        df.where(F.col(value).isNotNull())
+        df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
         .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg((F.count(F.lit(1)) if count is None else F.sum(count)).alias("_n"))
         .withColumn("_fine", F.floor(position))
         .withColumn("_coarse", F.floor(F.col("_fine") / 2 ** (_FINE_BITS - _COARSE_BITS)))
     )

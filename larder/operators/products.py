@@ -7,31 +7,49 @@ from pyspark.sql import DataFrame, functions as F
 from larder.config import AbcRule
 from larder.functions.text import product_category
 from larder.operators.ordered import exact_median, running_total
+from larder.plans.lineage import pin
 
 TERMS = ("lead_time_days", "moq", "supplier", "warehouse", "shelf_life_days")
 
 
-def most_common(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    """Mode per key; ties go to the smallest value. Counts before grouping by key."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
+def most_common(
+    df: DataFrame, key: str, value: str, out: str, count: str | None = None
+) -> DataFrame:
+    """Mode per key; ties go to the smallest value. Counts before grouping by key.
+
+    A row stands for as many values as its ``count`` column says, if one is named.
+    """
+    number = F.count(F.lit(1)) if count is None else F.sum(count)
+    counts = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(number.alias("_n"))
     best = F.min(F.struct(-F.col("_n"), F.col(value).alias("v")))
     return counts.groupBy(key).agg(best["v"].alias(out))
 
 
 def product_profile(tx: DataFrame) -> DataFrame:
-    """Description, price range, totals and sale dates per product."""
-    totals = tx.groupBy("stock_code").agg(
+    """Description, price range, totals and sale dates per product.
+
+    Transactions are read once, into counts per product, price and description;
+    all else comes from those.
+    """
+    counts = pin(
+        tx.groupBy("stock_code", "unit_price", "description").agg(
+            F.count(F.lit(1)).alias("lines"),
+            F.sum("revenue").alias("revenue"),
+            F.sum("quantity").alias("quantity"),
+            F.min("invoice_date").alias("first_date"),
+            F.max("invoice_date").alias("last_date"),
+        )
+    )
+    totals = counts.groupBy("stock_code").agg(
         F.min("unit_price").alias("min_price"),
         F.max("unit_price").alias("max_price"),
         F.sum("revenue").alias("total_revenue"),
         F.sum("quantity").alias("total_quantity"),
-        F.min("invoice_date").alias("first_sale_date"),
-        F.max("invoice_date").alias("last_sale_date"),
+        F.min("first_date").alias("first_sale_date"),
+        F.max("last_date").alias("last_sale_date"),
     )
-    prices = exact_median(tx, ["stock_code"], "unit_price", "avg_unit_price")
-    names = most_common(tx, "stock_code", "description", "description")
+    prices = exact_median(counts, ["stock_code"], "unit_price", "avg_unit_price", "lines")
+    names = most_common(counts, "stock_code", "description", "description", "lines")
     return (
         totals.join(names, "stock_code", "left")
         .join(prices, "stock_code", "left")

@@ -111,14 +111,33 @@ def top_correlated(df: DataFrame, target: str, columns: list[str], n: int) -> Da
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pairwise correlations as rows (x, y, correlation), in one scan."""
-    pairs = [(a, b) for a in columns for b in columns]
-    counts = df.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    """Pairwise correlations as rows (x, y, correlation), in one scan.
+
+    Each pair is computed once and shown both ways.
+    """
+    names = {
+        (a, b): f"{a}|{b}" for i, a in enumerate(columns) for b in columns[i:]
+    }
+    values = df.agg(*[F.corr(a, b).alias(name) for (a, b), name in names.items()])
     entries = [
         F.struct(
             F.lit(a).alias("x"), F.lit(b).alias("y"),
-            F.col(f"`{a}|{b}`").alias("correlation"),
+            F.col(f"`{names.get((a, b)) or names[b, a]}`").alias("correlation"),
         )
-        for a, b in pairs
+        for a in columns for b in columns
     ]
-    return counts.select(F.inline(F.array(*entries)))
+    return values.select(F.inline(F.array(*entries)))
+
+
+def strongest_matrix(df: DataFrame, target: str, columns: list[str], n: int) -> DataFrame:
+    """The correlation matrix of the target and the ``n`` columns most correlated with it.
+
+    The driver gets the ``n`` names.
+    """
+    chosen = [row["feature"] for row in top_correlated(df, target, columns, n).collect()]
+    return correlation_matrix(df, [target, *chosen])
+
+
+def most_variable(stats: DataFrame, n: int = 10) -> DataFrame:
+    """The ``n`` columns of largest deviation, from ``column_stats``."""
+    return stats.orderBy(F.desc_nulls_last("std"), "feature").limit(n)

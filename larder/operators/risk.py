@@ -37,7 +37,9 @@ def demand_stats(features: DataFrame) -> DataFrame:
     return features.groupBy("stock_code").agg(*[c.alias(n) for n, c in stats.items()])
 
 
-def risk_inputs(features: DataFrame, stock: DataFrame, products: DataFrame) -> DataFrame:
+def risk_inputs(
+    features: DataFrame, stock: DataFrame, products: DataFrame, rules: RiskRules = RiskRules()
+) -> DataFrame:
     """Latest stock, demand and product attributes per product, with defaults.
 
     All three sides are one row per stock code.
@@ -55,7 +57,7 @@ def risk_inputs(features: DataFrame, stock: DataFrame, products: DataFrame) -> D
     return joined.drop("_list_price").fillna(
         {
             "avg_unit_price": 1.0, "avg_daily_demand": 0.0, "std_daily_demand": 0.0,
-            "coverage_days": 0.0, "closing_inventory": 0.0, "lead_time_days": 7,
+            "coverage_days": 0.0, "closing_inventory": 0.0, "lead_time_days": rules.default_lead_days,
             "demand_momentum": 1.0, "abc_class": "C",
         }
     )

@@ -23,6 +23,7 @@ from larder.operators.products import build_product_master
 from larder.operators.risk import assess_risk, business_impact, by_priority
 from larder.operators.stock import project_stock, reorder_list
 from larder.plans import reports
+from larder.plans.lineage import pins_released
 from larder.sources import tables
 
 
@@ -48,6 +49,8 @@ class _Store:
         return f"{self.folder}/{name}"
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
+        if name in schemas.TABLES:
+            df = tables.conform(df, schemas.TABLES[name], name)
         tables.write_table(df, self.path(name))
         return tables.read_table(self.spark, self.path(name), df.schema)
 
@@ -86,13 +89,30 @@ def full_run(
     settings: Settings = Settings(),
     holidays: Sequence[str] | DataFrame = DEFAULT_HOLIDAYS,
     skip_training: bool = False,
+    stock: DataFrame | None = None,
 ) -> DataFrame:
     """Build and store every table under ``folder``; returns the one-row run summary.
 
+    ``stock`` is a table of stock snapshots per product and day; without one the
+    stock is projected from sales under the stock policy.
+
     Each stage reads the stored table of the one before, so plans stay short,
     a lost executor costs at most one stage, and small tables are broadcast
     by their real size. ``skip_training`` uses an earlier forecast if there is one.
     """
+    with pins_released(raw.sparkSession):
+        return _run_stages(raw, terms, folder, settings, holidays, skip_training, stock)
+
+
+def _run_stages(
+    raw: DataFrame,
+    terms: DataFrame,
+    folder: str,
+    settings: Settings,
+    holidays: Sequence[str] | DataFrame,
+    skip_training: bool,
+    snapshots: DataFrame | None,
+) -> DataFrame:
     started = time.monotonic()
     spark = raw.sparkSession
     store = _Store(spark, folder)
@@ -104,7 +124,10 @@ def full_run(
         "sku_master", build_product_master(tx, terms, settings.reference_date, settings.abc)
     )
     calendar = store.keep("calendar", build_calendar(span, holidays))
-    stock = store.keep("inventory_snapshots", project_stock(sales, products, settings.stock))
+    stock = store.keep(
+        "inventory_snapshots",
+        project_stock(sales, products, settings.stock) if snapshots is None else snapshots,
+    )
 
     tables.write_features(
         build_features(sales, products, calendar, stock, settings.features),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,12 +29,41 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
+# Paths pinned inside each open ``pins_released``, the innermost last.
+_open_runs: list[list[str]] = []
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Write ``df`` to shared storage and read it back, so later steps see one fixed result.
 
     A written table survives lost executors like a checkpoint does, takes one
-    pass instead of two, and is read back by column.
+    pass instead of two, and is read back by column. It is deleted when the
+    application ends, or at the end of the ``pins_released`` block around it.
     """
-    path = f"{checkpoint_dir(df.sparkSession)}/pinned-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/pinned-{uuid.uuid4().hex}"
+    files, place = _file_system(spark, path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    files.deleteOnExit(place)
+    if _open_runs:
+        _open_runs[-1].append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def pins_released(spark: SparkSession) -> Iterator[None]:
+    """Deletes what is pinned inside the block when it ends; results must be stored by then."""
+    paths: list[str] = []
+    _open_runs.append(paths)
+    try:
+        yield
+    finally:
+        _open_runs.remove(paths)
+        for path in paths:
+            files, place = _file_system(spark, path)
+            files.delete(place, True)

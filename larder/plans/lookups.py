@@ -4,26 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from larder.config import RISK_LEVELS
 from larder.operators.risk import by_priority
 
-MAX_TOP = 500
 
+def _is(column: str, value: str | None) -> Column:
+    """Equality with the stored spelling, which the scan can use; no value means no filter.
 
-def _same_text(column: str, value: str | None) -> Column:
-    """Case-insensitive equality; no value means no filter."""
+    Codes and classes are stored in upper case, risk levels as in ``RISK_LEVELS``.
+    """
     if value is None:
         return F.lit(True)
-    return F.lower(column) == value.lower()
+    spelling = {level.lower(): level for level in RISK_LEVELS}
+    return F.col(column) == spelling.get(value.lower(), value.upper())
 
 
 def find_forecast(forecast: DataFrame, stock_code: str | None = None) -> DataFrame:
-    return forecast.where(_same_text("stock_code", stock_code))
+    return forecast.where(_is("stock_code", stock_code))
 
 
 def find_risk(
     risk: DataFrame, risk_level: str | None = None, abc_class: str | None = None
 ) -> DataFrame:
-    return risk.where(_same_text("risk_level", risk_level) & _same_text("abc_class", abc_class))
+    return risk.where(_is("risk_level", risk_level) & _is("abc_class", abc_class))
 
 
 def filter_risk(
@@ -49,16 +52,21 @@ def filter_risk(
 
 
 def top_recommendations(
-    risk: DataFrame, n: int = 20, risk_level: str | None = None, abc_class: str | None = None
+    risk: DataFrame,
+    n: int = 20,
+    risk_level: str | None = None,
+    abc_class: str | None = None,
+    most: int | None = None,
 ) -> DataFrame:
     """The ``n`` most urgent products after filtering, ranked from 1.
 
-    ``matching_skus`` counts all products that pass the filters.
+    ``matching_skus`` counts all products that pass the filters. A service may
+    refuse a larger ``n`` than ``most``.
     """
-    if not 1 <= n <= MAX_TOP:
-        raise ValueError(f"n must be between 1 and {MAX_TOP}")
+    if n < 1 or (most is not None and n > most):
+        raise ValueError("n must be at least 1" + (f" and at most {most}" if most else ""))
     matching = find_risk(risk, risk_level, abc_class)
-    # At most MAX_TOP rows reach the ranking window.
+    # n rows reach the ranking window.
     best = by_priority(matching).limit(n)
     rank = F.row_number().over(Window.orderBy(F.desc("priority_score"), "stock_code"))
     rounded = lambda c: F.round(c, 4).alias(c)

@@ -31,9 +31,10 @@ def sales_by_week(by_day: DataFrame, days: int = 365) -> DataFrame:
 
 
 def sales_by_product(sales: DataFrame) -> DataFrame:
+    """Totals per product. Revenue is summed as decimals, so no order of summation shows."""
     return sales.groupBy("stock_code").agg(
         F.sum("quantity").alias("total_quantity"),
-        F.sum("revenue").alias("total_revenue"),
+        F.sum(F.round("revenue", 6).cast("decimal(28,6)")).cast("double").alias("total_revenue"),
         F.avg("avg_unit_price").alias("avg_price"),
         F.max(F.when(F.col("quantity") > 0, F.col("date"))).alias("last_sale"),
         F.min(F.when(F.col("quantity") > 0, F.col("date"))).alias("first_sale"),

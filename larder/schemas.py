@@ -29,13 +29,9 @@ INVENTORY_SNAPSHOTS = (
     "inventory_value double, coverage_days double, avg_daily_demand double"
 )
 FORECAST_OUTPUT = "stock_code string, date date, forecast_quantity double"
-PREDICTIONS = (
-    "model string, fold int, stock_code string, date date, actual double, predicted double"
-)
 MODEL_COMPARISON = (
     "model string, WAPE double, MAPE double, MAE double, RMSE double, Bias double, rank int"
 )
-FEATURE_IMPORTANCE = "feature string, importance double"
 RISK_SCORES = (
     "stock_code string, description string, category string, abc_class string, "
     "closing_inventory double, coverage_days double, reorder_point double, eoq double, "
@@ -56,5 +52,4 @@ TABLES = {
     "forecast_output": FORECAST_OUTPUT,
     "model_comparison": MODEL_COMPARISON,
     "risk_scores": RISK_SCORES,
-    "supply_terms": SUPPLY_TERMS,
 }

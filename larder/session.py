@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows that are together by product are together by product and day.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,30 +14,81 @@ from pyspark.sql import types as T
 from larder.functions.numbers import nan_to_null
 from larder.operators.cleaning import canonical_names
 
-def _csv(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8"):
+_MALFORMED = "_malformed_line"
+
+
+def _paths(path: str | Sequence[str]) -> str | list[str]:
+    return path if isinstance(path, str) else list(path)
+
+
+def _csv_reader(spark: SparkSession, encoding: str = "UTF-8", multi_line: bool = False):
     return (
         spark.read.option("header", True)
         .option("encoding", encoding)
         .option("quote", '"')
         .option("escape", '"')
-        .csv(path if isinstance(path, str) else list(path))
+        .option("multiLine", multi_line)
     )
 
 
+def _files_by_encoding(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str]]:
+    """The files that are valid UTF-8 and the others; empty if all are valid.
+
+    One scan; the driver gets one row per file, as it does when it lists them.
+    """
+    lines = spark.read.text(_paths(path)).select("value", F.col("_metadata.file_path").alias("file"))
+    files = lines.groupBy("file").agg(F.bool_and(F.is_valid_utf8("value")).alias("valid"))
+    valid = {row["file"]: row["valid"] for row in files.collect()}
+    if all(valid.values()):
+        return {}
+    plain = {f: re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(f)) for f in valid}
+    return {
+        "UTF-8": sorted(plain[f] for f, ok in valid.items() if ok),
+        "ISO-8859-1": sorted(plain[f] for f, ok in valid.items() if not ok),
+    }
+
+
 def read_raw_lines(
-    spark: SparkSession, path: str | Sequence[str], encoding: str | None = None
+    spark: SparkSession,
+    path: str | Sequence[str],
+    encoding: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Raw invoice CSV, every column as text, with canonical column names.
 
-    ``path`` may be a folder or a glob. Without ``encoding`` the files are read
-    as UTF-8, or as Latin-1 when some text is not valid UTF-8 (one scan that
-    stops at the first such row). Name the encoding to save that scan.
+    ``path`` may be a folder or a glob. Without ``encoding`` each file is read as
+    UTF-8, or as Latin-1 if it holds text that is not valid UTF-8 (one scan
+    before). Name the encoding to save that scan. ``multi_line`` keeps line
+    breaks inside quoted fields; such files can't be split among tasks.
+    """
+    groups = {} if encoding is not None else _files_by_encoding(spark, path)
+    if not groups:
+        reader = _csv_reader(spark, encoding or "UTF-8", multi_line)
+        return canonical_names(reader.csv(_paths(path)))
+    parts = [
+        canonical_names(_csv_reader(spark, name, multi_line).csv(files))
+        for name, files in groups.items() if files
+    ]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+
+
+def malformed_lines(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    encoding: str = "UTF-8",
+    multi_line: bool = False,
+) -> DataFrame:
+    """Lines with more or fewer fields than their header, as ``line``.
+
+    Reading keeps them, with the missing fields null and the surplus left out.
     """
-    if encoding is None:
-        lines = spark.read.text(path if isinstance(path, str) else list(path))
-        broken = lines.where(~F.is_valid_utf8("value")).limit(1)
-        encoding = "ISO-8859-1" if not broken.isEmpty() else "UTF-8"
-    return canonical_names(_csv(spark, path, encoding))
+    reader = _csv_reader(spark, encoding, multi_line)
+    columns = reader.csv(_paths(path)).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _MALFORMED]])
+    rows = reader.schema(schema).option("columnNameOfCorruptRecord", _MALFORMED).csv(_paths(path))
+    # Always true, but it needs every field, and only then are they counted.
+    whole = F.concat_ws("", *[f"`{c}`" for c in columns]) >= ""
+    return rows.where(F.col(_MALFORMED).isNotNull() & whole).select(F.col(_MALFORMED).alias("line"))
 
 
 def read_table(
@@ -61,6 +115,15 @@ def read_table(
         return spark.createDataFrame([], schema)
 
 
+def conform(df: DataFrame, schema: str, name: str) -> DataFrame:
+    """``df`` with exactly the declared columns and types; raises when one is missing."""
+    declared = T.StructType.fromDDL(schema)
+    missing = [c for c in declared.names if c not in df.columns]
+    if missing:
+        raise ValueError(f"{name} lacks {', '.join(missing)}")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in declared])
+
+
 def write_table(
     df: DataFrame, path: str, format: str = "parquet", partition_by: Sequence[str] = ()
 ) -> None:
@@ -72,13 +135,23 @@ def write_table(
     writer.save(path)
 
 
-def write_features(features: DataFrame, path: str) -> None:
-    """Features by month, so that a history cut only reads the recent folders."""
-    write_table(
-        features.withColumn("sale_month", F.date_format("date", "yyyy-MM")),
-        path,
-        partition_by=["sale_month"],
+MONTH = "yyyy-MM"
+
+
+def write_features(features: DataFrame, path: str, files_per_month: int = 8) -> None:
+    """Features by month, ``files_per_month`` files at most in each.
+
+    ``recent_history`` then only reads the folders it needs. Products are dealt
+    over a month's files and sorted inside them.
+    """
+    part = F.pmod(F.xxhash64("stock_code"), F.lit(files_per_month))
+    dealt = (
+        features.withColumns({"sale_month": F.date_format("date", MONTH), "_part": part})
+        .repartition("sale_month", "_part")
+        .sortWithinPartitions("sale_month", "stock_code", "date")
+        .drop("_part")
     )
+    write_table(dealt, path, partition_by=["sale_month"])
 
 
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -88,7 +161,7 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 def preview(spark: SparkSession, path: str, rows: int = 200) -> DataFrame:
     """The first rows of a raw CSV with its own headers, every column as text."""
-    return _csv(spark, path).limit(rows)
+    return _csv_reader(spark).csv(path).limit(rows)
 
 
 def as_records(df: DataFrame, out: str = "record") -> DataFrame:

@@ -3,7 +3,7 @@ import datetime as dt
 from larder import schemas
 from larder.config import CleaningRules
 from larder.functions.text import product_category, title_case
-from larder.operators.cleaning import canonical_names, clean_transactions
+from larder.operators.cleaning import canonical_names, clean_transactions, rejected_lines
 from pyspark.sql import functions as F
 
 UK = "United Kingdom"
@@ -78,3 +78,29 @@ def test_categories(spark):
     df = spark.createDataFrame(list(cases), "d string, c string")
     rows = df.select("d", "c", product_category(F.col("d"), F.col("c")).alias("k")).collect()
     assert {(r["d"], r["c"]): r["k"] for r in rows} == cases
+
+
+def test_numbers_that_are_no_numbers(spark):
+    bad = ["NaN", "nan", "2d", "1f", "0x1", "", " ", "1,5", "--1", None]
+    assert cleaned(spark, [line(qty=x) for x in bad] + [line(price=x) for x in bad]) == []
+    good = {" 17 ": 17.0, "1e1": 10.0, "+3": 3.0, ".5": 0.5, "4.": 4.0}
+    rows = cleaned(spark, [line(invoice=str(i), qty=x) for i, x in enumerate(good)])
+    assert sorted(r["quantity"] for r in rows) == sorted(good.values())
+    typed = spark.createDataFrame([(1, "A", "x", float("nan"), dt.datetime(2011, 1, 1), 2.0)],
+                                  "invoice_no int, stock_code string, description string, "
+                                  "quantity double, invoice_date timestamp, unit_price double")
+    assert clean_transactions(typed).count() == 0
+
+
+def test_rejected_lines_are_counted_by_reason(spark):
+    rows = [
+        line(), line(invoice="C1"), line(invoice="C2", qty="0"), line(code=None), line(code="POST"),
+        line(country="France"), line(country=None), line(when="31.12.1999"), line(qty="NaN"), line(price="-1"), line(),
+    ]
+    raw = spark.createDataFrame(rows, schemas.RAW_LINES)
+    got = {r["reason"]: r["line_count"] for r in rejected_lines(raw).collect()}
+    assert got == {
+        "cancelled": 2, "no_stock_code": 1, "not_a_product": 1, "other_country": 2, "unreadable_date": 1,
+        "quantity_not_positive": 1, "price_not_positive": 1,
+    }
+    assert sum(got.values()) + 2 == len(rows)

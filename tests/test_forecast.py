@@ -119,9 +119,11 @@ def test_request_checks():
     with pytest.raises(ValueError):
         forecast.check_request(["a"], day, day - dt.timedelta(days=1))
     with pytest.raises(ValueError):
-        forecast.check_request(["a"], day, day + dt.timedelta(days=366))
+        forecast.check_request(["a"], day, day + dt.timedelta(days=366), most_days=365)
     with pytest.raises(ValueError):
-        forecast.check_request([str(i) for i in range(501)], day, day)
+        forecast.check_request([str(i) for i in range(501)], day, day, most_products=500)
+    many = [str(i) for i in range(5000)]
+    assert forecast.check_request(many, day, day + dt.timedelta(days=5000)) == many
     assert forecast.check_request(["b", "a", "b"], day, day) == ["b", "a"]
     with pytest.raises(ValueError):
         top_recommendations(None, 0)

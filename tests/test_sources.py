@@ -1,13 +1,17 @@
 import datetime as dt
+import glob
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from larder import schemas
+from larder.operators.folds import recent_history
 from larder.operators.quality import missing_report, quality_overview, schema_report
 from larder.plans.full_run import Settings, full_run
 from larder.config import CleaningRules, ForecastRules
+from larder.plans.lineage import checkpoint_dir, pin, pins_released
 from larder.sources import tables, tpch
 
 HEADER = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
@@ -21,6 +25,53 @@ def test_raw_csv_in_either_encoding(spark, tmp_path, encoding):
     assert row["description"] == 'BOX, £5 "SALE"' and row["unit_price"] == "2.55"
 
 
+def test_each_file_has_its_own_encoding(spark, tmp_path):
+    for name, encoding in (("a [1].csv", "utf-8"), ("b.csv", "latin-1")):
+        (tmp_path / name).write_bytes((HEADER + TEXT.replace("BOX", name[0])).encode(encoding))
+    got = sorted(r["description"] for r in tables.read_raw_lines(spark, str(tmp_path)).collect())
+    assert got == ['a, £5 "SALE"', 'b, £5 "SALE"']
+
+
+def test_line_breaks_in_fields_and_malformed_lines(spark, tmp_path):
+    (tmp_path / "raw.csv").write_text(HEADER + TEXT.replace("BOX", "BIG\nBOX") + "2,85123A\n" + TEXT)
+    whole = tables.read_raw_lines(spark, str(tmp_path), multi_line=True)
+    assert [r["description"] for r in whole.collect()] == ['BIG\nBOX, £5 "SALE"', None, 'BOX, £5 "SALE"']
+    bad = tables.malformed_lines(spark, str(tmp_path), multi_line=True)
+    assert [r["line"] for r in bad.collect()] == ["2,85123A"]
+    assert tables.malformed_lines(spark, str(tmp_path)).count() == 3
+
+
+def test_a_history_cut_reads_recent_months_only(spark, tmp_path):
+    days = spark.range(900).select(
+        F.concat(F.lit("p"), F.col("id") % 50).alias("stock_code"),
+        F.date_add(F.lit("2010-01-01"), (F.col("id") % 450).cast("int")).alias("date"),
+    )
+    tables.write_features(days, str(tmp_path / "f"), files_per_month=3)
+    assert all(len(list(p.glob("*.parquet"))) <= 3 for p in (tmp_path / "f").glob("sale_month=*"))
+    stored = spark.read.parquet(str(tmp_path / "f"))
+    cut = recent_history(stored, 40)
+    assert sorted(cut.select("stock_code", "date").collect()) == sorted(recent_history(days, 40).collect())
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(sale_month" in plan and "sale_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_stored_tables_have_their_declared_columns(spark):
+    df = spark.createDataFrame([(1, "a", "extra")], "forecast_quantity int, stock_code string, more string")
+    with pytest.raises(ValueError, match="lacks date"):
+        tables.conform(df, schemas.FORECAST_OUTPUT, "forecast")
+    whole = df.withColumn("date", F.lit("2011-01-02"))
+    assert tables.conform(whole, schemas.FORECAST_OUTPUT, "forecast").dtypes == [
+        ("stock_code", "string"), ("date", "date"), ("forecast_quantity", "double")]
+
+
+def test_pins_go_with_their_block(spark):
+    with pins_released(spark):
+        kept = pin(spark.range(5))
+        (path,) = {os.path.dirname(f) for f in kept.inputFiles()}
+        assert kept.count() == 5
+    assert not os.path.exists(path.removeprefix("file://").removeprefix("file:"))
+
+
 def test_tables(spark, tmp_path):
     df = spark.createDataFrame([("a", dt.date(2011, 1, 1), 2.0)], schemas.FORECAST_OUTPUT)
     for kind in ("parquet", "csv"):
@@ -67,3 +118,27 @@ def test_full_run_without_training(spark, tmp_path):
     assert tables.read_json(spark, f"{tmp_path}/business_impact_json", "total_skus bigint").first()[0] == summary["total_skus"]
     for name in ("sales_daily_agg", "sku_sales_agg", "sales_weekly_agg", "category_agg", "low_stock_alerts"):
         assert spark.read.parquet(f"{tmp_path}/{name}").count() > 0
+
+
+def test_full_run_with_training_and_given_stock(spark, tmp_path):
+    folder = "/root/testdata/sf0.001"
+    raw = tpch.invoice_lines(spark, folder, buyers=False).withColumns(
+        {"customer_id": F.lit(None).cast("string"), "country": F.lit("x")})
+    first = raw.agg(F.min("invoice_date")).first()[0]
+    raw = raw.where(F.col("invoice_date") < F.lit(first + dt.timedelta(days=250)))
+    terms = tpch.supply_terms(spark, folder)
+    codes = terms.select("stock_code")
+    stock = codes.select(
+        "stock_code", F.lit(first.date()).alias("date"), F.lit(5.0).alias("opening_inventory"),
+        F.lit(1.0).alias("units_sold"), F.lit(4.0).alias("closing_inventory"), F.lit(1).alias("reorder_triggered"),
+        F.lit(9.0).alias("reorder_point"), F.lit(12.0).alias("eoq"), F.lit(40.0).alias("inventory_value"),
+        F.lit(3.0).alias("coverage_days"), F.lit(1.5).alias("avg_daily_demand"))
+    rules = ForecastRules(horizon=7, models=("RandomForest", "SampledBoosting"), features=("quantity_lag1", "day_of_week", "unit_price"))
+    settings = Settings(cleaning=CleaningRules(country=None), forecast=rules)
+    pins = lambda: {p for p in glob.glob(f"{checkpoint_dir(spark).removeprefix('file:')}/pinned-*")}
+    before = pins()
+    summary = full_run(raw, terms, str(tmp_path), settings, stock=stock).first()
+    assert summary["forecast_rows"] == 7 * summary["sku_count"]
+    assert {m["model"] for m in summary["models"]} == {"RandomForest", "SampledBoosting", "SeasonalNaive"}
+    assert spark.read.parquet(f"{tmp_path}/inventory_snapshots").count() == codes.count()
+    assert pins() == before
