@@ -629,6 +629,31 @@ def _(shop):
     return quality.correlation_matrix(shop.by_product, ["total_revenue", "total_quantity"])
 
 
+_RAW_TYPES = {
+    "invoice_no": "string", "stock_code": "string", "description": "string", "quantity": "double",
+    "invoice_date": "timestamp", "unit_price": "double", "customer_id": "string", "country": "string",
+}
+
+
+@query("raw_missing_report", {2: "null_pct"}, "raw", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS null_count, "
+    f"count(*) FILTER ({c} IS NULL) / count(*) * 100 AS null_pct, '{t}' AS dtype FROM raw" for c, t in _RAW_TYPES.items()))
+def _(shop):
+    return quality.missing_report(shop.raw)
+
+
+_SALES_NUMBERS = "quantity revenue avg_unit_price num_orders num_customers is_promotion".split()
+
+
+@query("widest_columns", {4: "mean std min max", 2: "null_pct"}, "sales", f"""
+    SELECT * FROM ({' UNION ALL '.join(
+        f"SELECT '{c}' AS feature, count({c}) AS n, avg({c}) AS mean, stddev_samp({c}) AS std, min({c})::DOUBLE AS min, "
+        f"max({c})::DOUBLE AS max, (count(*) - count({c})) / count(*) * 100 AS null_pct FROM sales" for c in _SALES_NUMBERS)})
+    ORDER BY std DESC, feature LIMIT 4""")
+def _(shop):
+    return quality.most_variable(quality.column_stats(shop.sales, _SALES_NUMBERS), 4)
+
+
 @query("correlation_chain", {6: "correlation"}, "momentum", f"""
     WITH pairs AS ({' UNION ALL '.join(
         f"SELECT '{a}' AS x, '{b}' AS y, corr({a}, {b}) AS correlation FROM momentum"
@@ -1109,6 +1134,28 @@ def _(shop):
     )
 
 
+@query("request_grid", None, "sales days", """
+    SELECT code AS stock_code, d::DATE AS date, month(d) AS month, isodow(d) - 1 AS day_of_week, day(d) AS day_of_month,
+           0.0::DOUBLE AS quantity
+    FROM (SELECT DISTINCT stock_code AS code FROM sales WHERE stock_code IN ('RED RING', 'OLD ROD', 'NO SUCH CODE'))
+    CROSS JOIN (SELECT unnest(generate_series(DATE '2001-11-05', DATE '2001-12-04', INTERVAL 1 DAY)) AS d)""")
+def _(shop):
+    rows = forecast.request_rows(
+        shop.history, ["RED RING", "OLD ROD", "NO SUCH CODE"], dt.date(2001, 11, 5), dt.date(2001, 12, 4)
+    )
+    return rows.select("stock_code", "date", "month", "day_of_week", "day_of_month", "quantity")
+
+
+@query("model_inputs", {4: "quantity_roll_std_28"}, "roll", """
+    SELECT stock_code, date, coalesce(lag(quantity, 35) OVER (PARTITION BY stock_code ORDER BY date), 0) AS quantity_lag35,
+           coalesce(CASE WHEN n > 14 THEN s28 END, 0) AS quantity_roll_std_28, 0.0::DOUBLE AS no_such_feature,
+           greatest(quantity, 0) AS target
+    FROM roll""")
+def _(shop):
+    names = ["quantity_lag35", "quantity_roll_std_28", "no_such_feature"]
+    return models.model_input(shop.history, names).select("stock_code", "date", *names, "target")
+
+
 @query("sku_trend_seasonal")
 def _(shop):
     return forecast.trend_seasonal(shop.sales)
