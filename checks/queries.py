@@ -26,6 +26,7 @@ from larder.operators.risk import add_forecast_revenue, impact_waterfall, risk_i
 from larder.operators.stock import reorder_list, reorder_policy
 from larder.plans import lookups, reports
 from larder.config import CleaningRules, RiskRules
+from larder.sources import tpch
 from larder.sources.tables import as_records
 
 
@@ -70,7 +71,7 @@ def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
        "SELECT invoice_no, stock_code, description, quantity, invoice_date, unit_price, "
        "customer_id, country, date, revenue FROM tx")
 def _(shop):
-    return shop.buyer_tx
+    return tpch.transactions(shop.spark, shop.folder)
 
 
 @query("clean_tx_country", {2: "revenue"}, "tx",

@@ -48,12 +48,15 @@ class Shop:
 
     @cached_property
     def tx(self) -> DataFrame:
-        """Clean transactions without buyers, which most steps do not need."""
-        return tpch.transactions(self.spark, self.folder, buyers=False)
+        """Clean transactions without buyers, which most steps do not need.
+
+        An invoice has one buyer, so rows that differ do so without these columns.
+        """
+        return self.buyer_tx.drop("customer_id", "country")
 
     @cached_property
     def buyer_tx(self) -> DataFrame:
-        return tpch.transactions(self.spark, self.folder)
+        return pin(tpch.transactions(self.spark, self.folder))
 
     @cached_property
     def terms(self) -> DataFrame:
