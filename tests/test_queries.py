@@ -12,7 +12,8 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 CHECKED = (
     "clean_tx", "title_case", "category_rule", "daily_agg", "sku_master", "calendar", "abc_summary",
     "promo_impact", "ewma_features", "trend_slope", "stock_ledger", "risk_scores", "business_impact",
-    "cv_folds", "forecast_metrics",
+    "cv_folds", "forecast_metrics", "clean_text_tx", "rejected_lines", "description_mode", "top_skus", "request_grid",
+    "raw_missing_report",
 )
 
 
