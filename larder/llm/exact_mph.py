@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from larder.llm.common import SPACES, fresh, text_or_empty
+from larder.llm.common import SPACES, fresh, marked, text_or_empty
 from larder.plans.lineage import pin
 
 #: Digests of a shard, about; a shard's index is 60 bytes a digest.
@@ -232,14 +232,15 @@ def drop_exact(docs: DataFrame) -> DataFrame:
     keys, groups = exact_duplicates(docs.select("doc_id", "text"))
     many = groups.filter("group_size > 1").select("digest", "keep_id")
     lost = keys.join(many, "digest").filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "digest").distinct()
-    twins = keys.join(many, "digest").groupBy("digest", "doc_id", "keep_id").agg(F.count("*").alias("n")).filter(
-        (F.col("n") > 1) & F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    ).select("doc_id", "digest")
-    names = docs.columns
-    body = fresh(["doc_id", "digest"], "row_")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias(body), F.col("doc_id"), digest().alias("digest"))
-    lost = pin(lost)
-    kept = rows.join(lost, rows["doc_id"].eqNullSafe(lost["doc_id"]) & (rows["digest"] == lost["digest"]), "left_anti")
+    repeated = keys.groupBy("digest", "doc_id").agg(F.count("*").alias("n")).filter("n > 1")
+    twins = repeated.join(many, "digest").filter(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "digest")
+    body, lost = fresh(["doc_id", "digest"], "row_"), pin(lost)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(body), F.col("doc_id"), digest().alias("digest"))
+    # only rows whose id may be among the lost ones are shuffled for the exact test
+    seen = marked(rows, F.col("doc_id").cast("long"), lost.select(F.col("doc_id").cast("long").alias("id")).distinct(), "_maybe")
+    tested = seen.filter("_maybe").select(body, "doc_id", "digest")
+    tested = tested.join(lost, tested["doc_id"].eqNullSafe(lost["doc_id"]) & (tested["digest"] == lost["digest"]), "left_anti")
+    kept = seen.filter("not _maybe").select(body, "doc_id", "digest").unionByName(tested)
     twins = pin(twins)
     if twins.isEmpty():
         return kept.select(f"{body}.*")
