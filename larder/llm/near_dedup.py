@@ -146,6 +146,15 @@ def _star_links(edges: DataFrame, classes: DataFrame, texts: DataFrame, rules: N
     return pin(map_texts(with_b, partial(_confirm_pairs, rules), "a long, b long"))
 
 
+def _settled(people: DataFrame) -> DataFrame:
+    """``people`` with the home of their home's home, so that small homes around a large one become part of it."""
+    homes = people.select("id", "home")
+    for near, far in (("_a", "_b"), ("_c", "_d")):
+        people = people.join(homes.toDF(near, far), F.col("home") == F.col(near), "left")
+        people = people.withColumn("home", F.coalesce(far, "home")).drop(near, far)
+    return pin(people)
+
+
 def _leftover_links(ranked: DataFrame, labels: DataFrame, texts: DataFrame, rules: NearRules) -> DataFrame:
     """Links between what a key holds outside its pivot's component and the rest of that key."""
     of = lambda at, name: labels.select(F.col("id").alias(at), F.col("component").alias(name))
@@ -157,7 +166,7 @@ def _leftover_links(ranked: DataFrame, labels: DataFrame, texts: DataFrame, rule
     members = named.join(named.filter("apart").select("key").distinct(), "key", "left_semi")
     # a document is in one block: with others of its home, leftovers apart from the rest
     people = members.groupBy("id").agg(F.first("home").alias("home"), F.first("component").alias("component"), F.max("apart").alias("apart"))
-    people = pin(people)
+    people = _settled(pin(people))
     crowd = people.groupBy("home", "apart").agg(F.ceil(F.count("*") / rules.block).cast("long").alias("salts"))
     blocks = pin(
         people.join(crowd, ["home", "apart"])
@@ -241,7 +250,8 @@ def near_groups(docs: DataFrame, rules: NearRules = NearRules()) -> DataFrame:
             F.min("doc_id").alias("id"), F.min_by(F.struct("n_shingles", "sketch"), "doc_id").alias("own"), F.count("*").alias("copies")
         ).select("set_hash", "id", F.col("own.n_shingles").alias("n_shingles"), F.col("own.sketch").alias("sketch"), "copies")
     )
-    first, links = near_links(sets.select("id", "n_shingles", "sketch", "set_hash").dropDuplicates(["id"]), docs, rules)
+    classes = pin(sets.select("id", "n_shingles", "sketch", "set_hash").dropDuplicates(["id"]))
+    first, links = near_links(classes, docs, rules)
     # an id that repeats with other texts joins their classes
     twins = linked.join(sets.filter("copies > 1").select("set_hash", F.col("id").alias("a")), "set_hash").select("a", F.col("doc_id").alias("b"))
     labels = _joined_labels(first, links.unionByName(twins.filter("a <> b").distinct()))
