@@ -10,8 +10,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 from larder.plans.lineage import pin
 
 
+#: Ids that a task's contraction holds before it hands on what it has and begins anew.
+HELD_IDS = 500_000
+
+
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A partition's links as stars: each id with the least id that the partition's links reach."""
+    """A partition's links as stars: each id with the least id that links held together reach."""
     up: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -19,15 +23,22 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             up[x] = x = up[up[x]]
         return x
 
+    def stars() -> pa.RecordBatch:
+        apart = [(x, y) for x in up if (y := root(x)) != x]
+        return pa.RecordBatch.from_pydict(
+            {"u": pa.array([x for x, _ in apart], pa.int64()), "v": pa.array([y for _, y in apart], pa.int64())}
+        )
+
     for batch in batches:
         for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
             up.setdefault(a, a)
             up.setdefault(b, b)
             x, y = root(a), root(b)
             up[max(x, y)] = min(x, y)
-    pairs = [(x, root(x)) for x in up]
-    apart = [p for p in pairs if p[0] != p[1]]
-    yield pa.RecordBatch.from_pydict({"u": pa.array([x for x, _ in apart], pa.int64()), "v": pa.array([y for _, y in apart], pa.int64())})
+        if len(up) > HELD_IDS:
+            yield stars()
+            up.clear()
+    yield stars()
 
 
 def _are_stars(edges: DataFrame) -> bool:
