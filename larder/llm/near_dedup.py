@@ -193,8 +193,9 @@ def _leftover_links(ranked: DataFrame, labels: DataFrame, texts: DataFrame, rule
 
 
 def near_links(classes: DataFrame, docs: DataFrame, rules: NearRules) -> tuple[DataFrame, DataFrame]:
-    """Components of ``classes`` (id, n_shingles, sketch, set_hash) by most links, and the links between those that are left.
+    """Components of ``classes`` (id, doc, n_shingles, sketch, set_hash) by most links, and the links between those that are left.
 
+    ``doc`` is the doc_id of a row with the class's set.
     Links inside a component that is already joined may be left out of the second.
     """
     bands = pin(classes.select("id", "sketch").mapInArrow(partial(_bands, rules), "key long, id long"))
@@ -214,25 +215,26 @@ def near_links(classes: DataFrame, docs: DataFrame, rules: NearRules) -> tuple[D
         ranked.select("id", toward).select(F.least("id", "to").alias("a"), F.greatest("id", "to").alias("b")).filter("a <> b").distinct()
     )
     wanted = pin(ranked.select("id").distinct())
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    sieved = marked(rows, F.col("id"), wanted, "_wanted").filter("_wanted").select("id", "text")
-    texts = pin(_texts_of(sieved, wanted, classes, rules))
+    asked = pin(classes.join(wanted, "id", "left_semi").select("id", "doc", "set_hash"))
+    owners = pin(asked.select("doc").distinct())
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
+    sieved = marked(rows, F.col("doc"), owners, "_wanted").filter("_wanted").select("doc", "text")
+    texts = pin(_texts_of(sieved, owners, asked, rules))
     labels = pin(components(_star_links(edges, classes, texts, rules)))
     return labels, _leftover_links(ranked, labels, texts, rules)
 
 
-def _texts_of(rows: DataFrame, wanted: DataFrame, classes: DataFrame, rules: NearRules) -> DataFrame:
-    """(id, text) of the wanted classes: for each the row with its set, should an id repeat."""
-    own = rows.join(wanted.select("id"), "id", "left_semi")
-    hashed = map_texts(own, partial(_with_hash, rules), "id long, text string, set_hash binary")
-    right = hashed.join(classes.select("id", "set_hash"), ["id", "set_hash"], "left_semi")
-    return right.groupBy("id").agg(F.min("text").alias("text"))
+def _texts_of(rows: DataFrame, owners: DataFrame, asked: DataFrame, rules: NearRules) -> DataFrame:
+    """(id, text) of the classes in ``asked``: of the rows of its doc_id, for each the one with its set."""
+    own = rows.join(owners, "doc", "left_semi")
+    hashed = map_texts(own, partial(_with_hash, rules), "doc long, text string, set_hash binary")
+    return hashed.join(asked, ["doc", "set_hash"]).groupBy("id").agg(F.min("text").alias("text"))
 
 
 def _with_hash(rules: NearRules, batch: pa.RecordBatch) -> pa.RecordBatch:
     sets = shingle_sets(batch.column("text"), rules.width)
     digests = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets]
-    return pa.RecordBatch.from_pydict({"id": batch.column("id"), "text": batch.column("text"), "set_hash": pa.array(digests, pa.binary())})
+    return pa.RecordBatch.from_pydict({"doc": batch.column("doc"), "text": batch.column("text"), "set_hash": pa.array(digests, pa.binary())})
 
 
 def near_groups(docs: DataFrame, rules: NearRules = NearRules()) -> DataFrame:
@@ -245,23 +247,44 @@ def near_groups(docs: DataFrame, rules: NearRules = NearRules()) -> DataFrame:
     """
     rows = pin(sketches(docs, rules))
     linked = rows.filter(F.col("set_hash").isNotNull() & F.col("doc_id").isNotNull())
-    sets = pin(
-        linked.groupBy("set_hash").agg(
-            F.min("doc_id").alias("id"), F.min_by(F.struct("n_shingles", "sketch"), "doc_id").alias("own"), F.count("*").alias("copies")
-        ).select("set_hash", "id", F.col("own.n_shingles").alias("n_shingles"), F.col("own.sketch").alias("sketch"), "copies")
-    )
-    classes = pin(sets.select("id", "n_shingles", "sketch", "set_hash").dropDuplicates(["id"]))
+    sets = linked.groupBy("set_hash").agg(
+        F.min("doc_id").alias("doc"), F.min_by(F.struct("n_shingles", "sketch"), "doc_id").alias("own"), F.count("*").alias("copies")
+    ).select("set_hash", "doc", F.col("own.n_shingles").alias("n_shingles"), F.col("own.sketch").alias("sketch"), "copies")
+    # a class is one set; its id grows with its smallest doc_id, which several classes may have
+    classes = pin(sets.orderBy("doc", "set_hash").withColumn("id", F.monotonically_increasing_id()))
     first, links = near_links(classes, docs, rules)
-    # an id that repeats with other texts joins their classes
-    twins = linked.join(sets.filter("copies > 1").select("set_hash", F.col("id").alias("a")), "set_hash").select("a", F.col("doc_id").alias("b"))
-    labels = _joined_labels(first, links.unionByName(twins.filter("a <> b").distinct()))
+    copied = classes.filter("copies > 1").select(F.col("set_hash").alias("_h"), "id")
+    copied = pin(linked.join(copied, F.col("set_hash") == F.col("_h")).select("doc_id", "id").distinct())
+    held = copied.unionByName(classes.filter("copies = 1").select(F.col("doc").alias("doc_id"), "id"))
+    labels = _joined_labels(first, links.unionByName(_same_document(held)))
+    heads = _heads(labels, classes)
+    named = heads.select(F.col("id").alias("_id"), "doc", "head")
+    # the row of smallest id is found by its class, copies by theirs
+    of_docs = named.select(F.col("doc").alias("id"), "head").unionByName(
+        copied.join(named, F.col("id") == F.col("_id")).select(F.col("doc_id").alias("id"), "head")
+    ).groupBy("id").agg(F.min("head").alias("component"))
     return (
-        rows.join(labels, rows["doc_id"] == labels["id"], "left")
+        rows.join(of_docs, rows["doc_id"] == of_docs["id"], "left")
         .withColumn("component_id", F.coalesce("component", "doc_id"))
         .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
     )
 
 
+def _same_document(held: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of each doc_id that holds several; ``held``: doc_id, id."""
+    several = held.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("last")).filter("a < last").select("doc_id", "a")
+    return held.join(pin(several), "doc_id").select("a", F.col("id").alias("b")).filter("a <> b")
+
+
+def _heads(labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """(id, doc, head) of each class with copies or a label: the smallest doc_id of it and of its component."""
+    own = classes.select("id", "doc", "copies").join(labels.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left")
+    own = pin(own.filter("copies > 1 or component is not null").select("id", "doc", F.coalesce("component", "id").alias("component")))
+    # ids of classes are in the order of their documents, so a component's least class has its least document
+    least = own.filter("id = component").select("component", F.col("doc").alias("head"))
+    return pin(own.join(least, "component").select("id", "doc", "head"))
+
+
 def _joined_labels(first: DataFrame, links: DataFrame) -> DataFrame:
     """The components of ``first`` (id, component) after ``links`` (a, b) join some of them."""
     name = lambda at: first.select(F.col("id").alias(f"_{at}"), F.col("component").alias(f"of_{at}"))

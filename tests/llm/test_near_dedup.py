@@ -66,6 +66,15 @@ def test_repeated_and_missing_ids(make_docs):
     assert got == sorted([(3, 1, False), (3, 1, False), (5, 1, False), (5, 1, False), (1, 1, True), (None, None, True)], key=str)
 
 
+def test_an_id_with_several_texts_keeps_the_links_of_each(make_docs):
+    x, y, z, far = (" ".join(words(seed, 200)) for seed in (11, 12, 13, 14))
+    near_x, near_y, near_z = x + " more", y + " more", z + " more"
+    rows = [(5, x), (5, y), (9, near_y), (10, near_x), (4, near_z), (10, z), (3, far), (20, far), (20, far + " and more"), (None, y)]
+    got = {(r.doc_id, r.component_id, r.kept) for r in near_groups(make_docs(rows)).collect()}
+    assert got == {(4, 4, True), (5, 4, False), (9, 4, False), (10, 4, False), (3, 3, True), (20, 3, False), (None, None, True)}
+    assert sorted(r.doc_id or 0 for r in drop_near(make_docs(rows)).collect()) == [0, 3, 4]
+
+
 def test_dropping_keeps_the_smallest_id(make_docs):
     texts = family(2, 80, 3, 5)
     docs = make_docs([(10 - i, t) for i, t in enumerate(texts)] + [(50, "alone in the world today"), (60, None)])
