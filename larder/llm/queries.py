@@ -15,7 +15,7 @@ from larder.llm.exact_mph import exact_report
 from larder.llm.mixing import mix_documents
 from larder.llm.near_dedup import NearRules, near_groups
 from larder.llm.reply_trees import conversation_report
-from larder.llm.revisits import page_revisits
+from larder.llm.revisits import page_revisits, ruled_revisits
 from larder.llm.rollups import TokenTotals, withdrawn_corpus_totals
 from larder.llm.secrets import secret_report
 from larder.llm.sentencepieces import PieceModel, encoding_report
@@ -26,6 +26,10 @@ def op1_revisits(spark: SparkSession, folder: str) -> DataFrame:
     return page_revisits(spark, folder)
 
 
+def op1_revisits_ruled(spark: SparkSession, folder: str) -> DataFrame:
+    return ruled_revisits(spark, folder)
+
+
 def op2_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
     mix = mix_documents(table(spark, folder, "documents"))
     return mix.copies(mix.sized).select(
@@ -79,6 +83,7 @@ def op10_exact_mph(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_revisits": op1_revisits,
+    "op1_revisits_ruled": op1_revisits_ruled,
     "op2_entropy_mix": op2_entropy_mix,
     "op3_piece_spans": op3_piece_spans,
     "op4_hyperminhash": op4_hyperminhash,
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op1_revisits": sql.REVISITS,
+    "op1_revisits_ruled": sql.REVISITS_RULED,
     "op2_entropy_mix": sql.MIX,
     "op5_reply_trees": sql.CHAT,
     "op10_exact_mph": sql.EXACT,

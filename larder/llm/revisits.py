@@ -133,6 +133,53 @@ def page_captures(pages: DataFrame) -> DataFrame:
 
 
 def page_revisits(spark: SparkSession, folder: str) -> DataFrame:
-    made = resolve_revisits(page_captures(table(spark, folder, "pages")))
+    return _report(resolve_revisits(page_captures(table(spark, folder, "pages"))))
+
+
+def _report(made: DataFrame) -> DataFrame:
     lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat_ws(": ", e["key"], e["value"]))
     return made.select(F.col("record_id").alias("page_id"), "url", "outcome", F.col("response_id").alias("response_page_id"), F.array_join(lines, "\n").alias("headers"))
+
+
+#: Where a quarter of the pages of ``ruled_captures`` lie.
+HOT_URL = "https://hot.example.net/front"
+
+
+def ruled_captures(pages: DataFrame) -> DataFrame:
+    """Captures of ``pages`` that meet every rule: each page as a response, and one revisit of its URL.
+
+    The first four digits of the URL's MD5 decide: a quarter of the pages lie at one hot
+    URL; which validators the revisit claims and which of them are wrong; which the
+    response has; and by how many pages the revisit is late (0: it comes before its page).
+    A last-modified time holds for 16 pages.
+    """
+    digit = lambda k: F.substring(F.md5(F.coalesce("url", F.lit(""))), k, 1)
+    html, page = F.coalesce("html", F.lit("")), F.col("page_id").cast("string")
+    d = pages.select(
+        F.when(digit(1) < "4", F.lit(HOT_URL)).otherwise(F.col("url")).alias("url"), "page_id", page.alias("page"),
+        digit(2).alias("claim"), digit(3).alias("has"), F.conv(digit(4), 16, 10).cast("long").alias("late"),
+        F.sha1(html).alias("d"), F.md5(html).alias("e"), F.concat(F.lit("day "), F.floor(F.col("page_id") / 16).cast("string")).alias("m"),
+        F.length(html).cast("string").alias("size"),
+    )
+    claims = lambda right, wrong, value: F.when(F.col("claim").isin(*right), value).when(F.col("claim").isin(*wrong), F.concat(value, F.lit("x")))
+    present = lambda *pairs: F.map_filter(F.create_map(*[x if not isinstance(x, str) else F.lit(x) for x in pairs]), lambda _, v: v.isNotNull())
+    weak = claims("0123af", "89d", F.concat(F.lit("W/"), F.col("e")))
+    full = d.select(
+        F.col("page_id").alias("record_id"), F.lit("response").alias("kind"), "url", (F.col("page_id") * 2).alias("at"),
+        F.when(F.col("has").isin(*"0123456789abd"), F.col("d")).alias("digest"), F.when(F.col("has").isin(*"0123456789abc"), F.col("e")).alias("etag"),
+        F.when(F.col("has").isin(*"0123456789abe"), F.col("m")).alias("last_modified"),
+        present("Content-Type", F.lit("text/html"), "Content-Length", F.col("size"), "Date", F.col("page"), "ETag", F.col("e"),
+                "cache-control", F.lit("no-cache"), "X-Page", F.col("page")).alias("headers"),
+    )
+    brief = d.select(
+        F.col("page_id").alias("record_id"), F.lit("revisit").alias("kind"), "url", (F.col("page_id") * 2 + F.col("late") * 2 - 1).alias("at"),
+        claims("45d", "ae", F.col("d")).alias("digest"), weak.alias("etag"), claims("67", "c", F.col("m")).alias("last_modified"),
+        present("Content-Length", F.lit("0"), "DATE", F.concat(F.lit("not-modified "), F.col("page")), "Etag", weak, "X-Page", F.lit("none"),
+                "Cache-Control", F.when(F.col("late") < 8, F.concat(F.lit("max-age="), F.col("page"))),
+                "Expires", F.when(F.col("late") % 2 == 1, F.col("page"))).alias("headers"),
+    )
+    return full.unionByName(brief)
+
+
+def ruled_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    return _report(resolve_revisits(ruled_captures(table(spark, folder, "pages"))))

@@ -107,3 +107,51 @@ SELECT page_id, url, outcome, earlier AS response_page_id,
          || 'date: not-modified ' || page_id::VARCHAR || chr(10) || 'etag: W/' || tag END AS headers
 FROM judged
 """
+
+#: Revisits by rules of the URL's digest, so that every outcome and every merge occurs.
+REVISITS_RULED = r"""
+WITH ruled AS (
+  SELECT page_id, CASE WHEN md5(coalesce(url, ''))[1] < '4' THEN 'https://hot.example.net/front' ELSE url END AS url,
+         md5(coalesce(url, ''))[2] AS claim, md5(coalesce(url, ''))[3] AS has,
+         ('0x' || md5(coalesce(url, ''))[4])::BIGINT AS late,
+         sha1(coalesce(html, '')) AS d, md5(coalesce(html, '')) AS e, 'day ' || (page_id // 16)::VARCHAR AS m, length(coalesce(html, '')) AS size
+  FROM pages
+), bare AS (
+  SELECT *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS u FROM ruled
+), keyed AS (
+  SELECT *, regexp_replace(lower(regexp_extract(u, '^[^/?]*')), '^www[0-9]*\.|:(80|443)$', '', 'g')
+         || regexp_replace(regexp_extract(u, '^[^/?]*([^?]*)', 1), '/+$', '') AS place,
+         list_sort(list_filter(string_split(regexp_extract(u, '\?(.*)$', 1), '&'),
+                               lambda x: x <> '' AND NOT regexp_matches(x, '^utm_'))) AS query
+  FROM bare
+), named AS (
+  SELECT * EXCLUDE (url), place || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END AS url FROM keyed
+), responses AS (
+  SELECT page_id, url, page_id * 2 AS moment, size, e AS tag,
+         CASE WHEN has NOT IN ('c', 'e', 'f') THEN d END AS digest, CASE WHEN has NOT IN ('d', 'e', 'f') THEN e END AS etag,
+         CASE WHEN has NOT IN ('c', 'd', 'f') THEN m END AS modified
+  FROM named
+), revisits AS (
+  SELECT page_id, url, page_id * 2 + late * 2 - 1 AS moment, late,
+         CASE WHEN claim IN ('4', '5', 'd') THEN d WHEN claim IN ('a', 'e') THEN d || 'x' END AS digest,
+         CASE WHEN claim IN ('0', '1', '2', '3', 'a', 'f') THEN e WHEN claim IN ('8', '9', 'd') THEN e || 'x' END AS etag,
+         CASE WHEN claim IN ('6', '7') THEN m WHEN claim = 'c' THEN m || 'x' END AS modified
+  FROM named
+), found AS (
+  SELECT v.*, r.page_id AS response_page_id, r.size, r.tag,
+         coalesce(v.digest = r.digest, v.etag = r.etag, v.modified = r.modified) AS agree
+  FROM revisits v ASOF LEFT JOIN responses r ON v.url = r.url AND v.moment > r.moment
+), judged AS (
+  SELECT *, CASE WHEN response_page_id IS NULL THEN 'orphan' WHEN agree IS NULL THEN 'unproven'
+                 WHEN agree THEN 'resolved' ELSE 'changed' END AS outcome
+  FROM found
+)
+SELECT page_id, url, outcome, response_page_id,
+       CASE WHEN outcome = 'resolved' THEN
+         'cache-control: ' || CASE WHEN late < 8 THEN 'max-age=' || page_id::VARCHAR ELSE 'no-cache' END || chr(10)
+         || 'content-length: ' || size::VARCHAR || chr(10) || 'content-type: text/html' || chr(10)
+         || 'date: not-modified ' || page_id::VARCHAR || chr(10) || 'etag: ' || coalesce('W/' || etag, tag) || chr(10)
+         || CASE WHEN late % 2 = 1 THEN 'expires: ' || page_id::VARCHAR || chr(10) ELSE '' END
+         || 'x-page: ' || response_page_id::VARCHAR END AS headers
+FROM judged
+"""

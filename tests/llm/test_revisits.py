@@ -1,7 +1,9 @@
 import random
 
+import duckdb
 from pyspark.sql import functions as F
 
+from larder.llm.queries import ORACLES
 from larder.llm.revisits import RevisitRules, canonical_url, merged_headers, resolve_revisits
 
 CAPTURES = "record_id long, kind string, url string, at long, digest string, etag string, last_modified string, headers map<string,string>"
@@ -57,3 +59,14 @@ def test_matches_a_search_over_all_responses(spark):
 def test_only_permitted_headers_are_renewed(spark):
     maps = spark.createDataFrame([({"Content-Type": "text/html", "etag": "old", "ETag": "older"}, {"ETAG": "new", "Content-Type": "no", "Date": "d"})], "a map<string,string>, b map<string,string>")
     assert maps.select(merged_headers(F.col("a"), F.col("b"))).first()[0] == {"content-type": "text/html", "etag": "new", "date": "d"}
+
+
+def test_the_ruled_query_has_every_outcome_and_merges_headers():
+    con = duckdb.connect()
+    con.execute("create view pages as select * from read_parquet('/root/testdata/sf0.001/pages.parquet')")
+    made = f"({ORACLES['op1_revisits_ruled']})"
+    counts = dict(con.execute(f"select outcome, count(*) from {made} group by 1").fetchall())
+    assert set(counts) == {"resolved", "changed", "unproven", "orphan"}
+    merged = con.execute(f"select count(*) from {made} where headers like '%max-age%' and headers like '%x-page%'").fetchone()[0]
+    elsewhere = con.execute(f"select count(*) from {made} where response_page_id <> page_id").fetchone()[0]
+    assert merged > 0 and elsewhere > 0
