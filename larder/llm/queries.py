@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from larder.llm import sql
 from larder.llm.common import table, tokenizer_path
 from larder.llm.compression import fit_compression, held_out, with_score
+from larder.llm.covering import covering_groups
 from larder.llm.decision_list import rule_report
 from larder.llm.exact_mph import exact_report
 from larder.llm.mixing import mix_documents
@@ -81,6 +82,10 @@ def op10_exact_mph(spark: SparkSession, folder: str) -> DataFrame:
     return exact_report(table(spark, folder, "documents")).drop("in_history")
 
 
+def op11_covering_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return covering_groups(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_revisits": op1_revisits,
     "op1_revisits_ruled": op1_revisits_ruled,
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_rollups": op8_token_rollups,
     "op9_decision_list": op9_decision_list,
     "op10_exact_mph": op10_exact_mph,
+    "op11_covering_simhash": op11_covering_simhash,
 }
 
 ORACLES: dict[str, str] = {
