@@ -20,6 +20,7 @@ from larder.llm.revisits import page_revisits, ruled_revisits
 from larder.llm.rollups import TokenTotals, withdrawn_corpus_totals
 from larder.llm.secrets import secret_report
 from larder.llm.sentencepieces import PieceModel, encoding_report
+from larder.llm.structure_repair import repair_report
 from larder.plans.lineage import checkpoint_dir
 
 
@@ -86,6 +87,10 @@ def op11_covering_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return covering_groups(table(spark, folder, "documents"))
 
 
+def op12_path_ranks(spark: SparkSession, folder: str) -> DataFrame:
+    return repair_report(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_revisits": op1_revisits,
     "op1_revisits_ruled": op1_revisits_ruled,
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decision_list": op9_decision_list,
     "op10_exact_mph": op10_exact_mph,
     "op11_covering_simhash": op11_covering_simhash,
+    "op12_path_ranks": op12_path_ranks,
 }
 
 ORACLES: dict[str, str] = {
