@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larder.llm import sql
+from larder.llm.alignment import ByteTokens, PieceTokens, alignment_report
 from larder.llm.common import table, tokenizer_path
 from larder.llm.compression import fit_compression, held_out, with_score
 from larder.llm.covering import covering_groups
@@ -91,6 +92,11 @@ def op12_path_ranks(spark: SparkSession, folder: str) -> DataFrame:
     return repair_report(table(spark, folder, "conversations"))
 
 
+def op13_pair_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
+    a, b = ByteTokens.load(tokenizer_path("byte_bpe_50k.json")), PieceTokens.load(tokenizer_path("piece_bpe_32k.model"))
+    return alignment_report(table(spark, folder, "documents"), a, b)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_revisits": op1_revisits,
     "op1_revisits_ruled": op1_revisits_ruled,
@@ -105,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_mph": op10_exact_mph,
     "op11_covering_simhash": op11_covering_simhash,
     "op12_path_ranks": op12_path_ranks,
+    "op13_pair_bitmaps": op13_pair_bitmaps,
 }
 
 ORACLES: dict[str, str] = {
