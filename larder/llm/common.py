@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -38,9 +39,18 @@ def fresh(taken: list[str], name: str) -> str:
     return name
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows whose texts hold at most ``most`` bytes, or of one row."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+def give_back() -> None:
+    """Return memory that is no longer used to the system: a worker outlives its tasks, and several wait beside those at work."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def slices(batch: pa.RecordBatch, *columns: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose texts (``columns``, or ``text``) hold at most ``most`` bytes, or of one row."""
+    lengths = [pc.fill_null(pc.binary_length(batch.column(c)), 0) for c in columns or ("text",)]
+    sizes = [sum(x) for x in zip(*(n.to_pylist() for n in lengths))]
     begin = held = 0
     for i, n in enumerate(sizes):
         if held and held + n > most:
@@ -51,13 +61,14 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES)
         yield batch.slice(begin)
 
 
-def map_texts(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, column: str = "text") -> DataFrame:
-    """``work`` on slices of the rows, in Arrow, without a shuffle."""
+def map_texts(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, *columns: str) -> DataFrame:
+    """``work`` on slices of the rows by their texts in ``columns`` (or ``text``), in Arrow, without a shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, column):
+            for part in slices(batch, *columns):
                 yield work(part)
+        give_back()
 
     return df.mapInArrow(run, schema)
 

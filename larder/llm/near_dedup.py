@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from larder.llm.common import fresh, map_texts, marked
+from larder.llm.common import fresh, give_back, map_texts, marked, slices
 from larder.llm.components import components
 from larder.llm.hyperminhash import (
     BUCKETS, EMPTY, band_keys, estimated_jaccard, exact_overlap, registers, shingle_sets,
@@ -36,6 +36,9 @@ from larder.plans.lineage import pin
 class NearRules:
     """``width`` words a shingle, ``percent`` similarity, ``band_rows`` registers a band.
 
+    A block of leftovers holds about ``block`` documents or ``block_shingles`` shingles,
+    whichever is less, or one document.
+
     With 128 registers in bands of 4, a pair at 0.8 shares no band with probability 5e-8.
     """
 
@@ -43,6 +46,7 @@ class NearRules:
     percent: int = 80
     band_rows: int = 4
     block: int = 256
+    block_shingles: int = 1 << 17
 
 
 #: Standard errors by which an estimate may fall short before a pair is dropped.
@@ -77,6 +81,7 @@ def _bands(rules: NearRules, batches):
         keys = band_keys(_regs(batch.column("sketch")), rules.band_rows)
         ids = np.repeat(batch.column("id").to_numpy(), keys.shape[1])
         yield pa.RecordBatch.from_pydict({"key": pa.array(keys.ravel()), "id": pa.array(ids)})
+    give_back()
 
 
 def _hopeful(rules: NearRules, regs_a, regs_b, n_a, n_b) -> np.ndarray:
@@ -99,6 +104,7 @@ def _estimate_pairs(rules: NearRules, batches):
             ok = _hopeful(rules, *(_regs(batch.column(x)) for x in ("sketch_a", "sketch_b")),
                           *(batch.column(x).to_numpy() for x in ("n_a", "n_b")))
             yield batch.select(["a", "b"]).filter(pa.array(ok))
+    give_back()
 
 
 def _confirm_pairs(rules: NearRules, batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -124,7 +130,7 @@ class _Groups:
 def _compare_blocks(rules: NearRules, rows: pa.Table) -> pa.Table:
     """Confirmed links between a block of leftovers and another block (or itself), between different components."""
     rows = rows.combine_chunks()
-    sets = shingle_sets(rows["text"].combine_chunks() if rows.num_rows else pa.array([], pa.string()), rules.width)
+    sets = [x for part in rows.to_batches() for some in slices(part) for x in shingle_sets(some.column("text"), rules.width)]
     regs, sizes = np.array([registers(x) for x in sets]), np.array([len(x) for x in sets])
     ids, labels = rows["id"].to_numpy(), rows["component"].to_pylist()
     left, right = (np.flatnonzero(rows[x].to_numpy(zero_copy_only=False)) for x in ("is_left", "is_right"))
@@ -143,7 +149,7 @@ def _star_links(edges: DataFrame, classes: DataFrame, texts: DataFrame, rules: N
     hopeful = edges.join(regs("a"), "a").join(regs("b"), "b").mapInArrow(partial(_estimate_pairs, rules), "a long, b long")
     with_a = pin(hopeful).join(texts.select(F.col("id").alias("a"), "text"), "a")
     with_b = with_a.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text", "text_b")
-    return pin(map_texts(with_b, partial(_confirm_pairs, rules), "a long, b long"))
+    return pin(map_texts(with_b, partial(_confirm_pairs, rules), "a long, b long", "text", "text_b"))
 
 
 def _settled(people: DataFrame) -> DataFrame:
@@ -155,8 +161,8 @@ def _settled(people: DataFrame) -> DataFrame:
     return pin(people)
 
 
-def _leftover_links(ranked: DataFrame, labels: DataFrame, texts: DataFrame, rules: NearRules) -> DataFrame:
-    """Links between what a key holds outside its pivot's component and the rest of that key."""
+def _leftover_links(ranked: DataFrame, labels: DataFrame, sizes: DataFrame, texts: DataFrame, rules: NearRules) -> DataFrame:
+    """Links between what a key holds outside its pivot's component and the rest of that key; ``sizes``: id, n_shingles."""
     of = lambda at, name: labels.select(F.col("id").alias(at), F.col("component").alias(name))
     named = ranked.join(of("_i", "component"), F.col("id") == F.col("_i"), "left").join(of("_p", "main"), F.col("pivot") == F.col("_p"), "left")
     named = pin(
@@ -166,8 +172,9 @@ def _leftover_links(ranked: DataFrame, labels: DataFrame, texts: DataFrame, rule
     members = named.join(named.filter("apart").select("key").distinct(), "key", "left_semi")
     # a document is in one block: with others of its home, leftovers apart from the rest
     people = members.groupBy("id").agg(F.first("home").alias("home"), F.first("component").alias("component"), F.max("apart").alias("apart"))
-    people = _settled(pin(people))
-    crowd = people.groupBy("home", "apart").agg(F.ceil(F.count("*") / rules.block).cast("long").alias("salts"))
+    people = _settled(pin(people.join(sizes, "id")))
+    size = F.greatest(F.count("*") / rules.block, F.sum("n_shingles") / rules.block_shingles)
+    crowd = people.groupBy("home", "apart").agg(F.ceil(size).cast("long").alias("salts"))
     blocks = pin(
         people.join(crowd, ["home", "apart"])
         .withColumn("block", F.xxhash64("home", "apart", F.pmod(F.xxhash64("id"), F.col("salts"))))
@@ -187,7 +194,9 @@ def _leftover_links(ranked: DataFrame, labels: DataFrame, texts: DataFrame, rule
     )
 
     def compare(block: pa.Table) -> pa.Table:
-        return _compare_blocks(rules, block)
+        links = _compare_blocks(rules, block)
+        give_back()
+        return links
 
     return pin(filled.groupBy("left_block", "right_block").applyInArrow(compare, "a long, b long"))
 
@@ -221,7 +230,7 @@ def near_links(classes: DataFrame, docs: DataFrame, rules: NearRules) -> tuple[D
     sieved = marked(rows, F.col("doc"), owners, "_wanted").filter("_wanted").select("doc", "text")
     texts = pin(_texts_of(sieved, owners, asked, rules))
     labels = pin(components(_star_links(edges, classes, texts, rules)))
-    return labels, _leftover_links(ranked, labels, texts, rules)
+    return labels, _leftover_links(ranked, labels, classes.select("id", "n_shingles"), texts, rules)
 
 
 def _texts_of(rows: DataFrame, owners: DataFrame, asked: DataFrame, rules: NearRules) -> DataFrame:
