@@ -6,13 +6,11 @@ Floating results are rounded on both sides.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from checks.shop import Shop, shop_for
-from checks.sql import rounded, with_parts
+from checks.registry import QUERIES, Query, query, run  # noqa: F401
+from checks.sql import HISTORY_NUMBERS
 from larder.config import ForecastRules
 from larder.functions.numbers import half_even
 from larder.functions.text import product_category, title_case
@@ -30,41 +28,6 @@ from larder.sources import tpch
 from larder.sources.tables import as_records
 
 
-@dataclass(frozen=True)
-class Query:
-    build: Callable[[Shop], DataFrame]
-    places: dict[int, str]
-    sql: str | None
-
-
-QUERIES: dict[str, Query] = {}
-
-
-def query(name: str, places: dict[int, str] | None = None, parts: str = "", sql: str | None = None):
-    """Register a query; ``places`` rounds columns of both sides."""
-    places = places or {}
-
-    def register(build: Callable[[Shop], DataFrame]):
-        text = None
-        if sql is not None:
-            text = with_parts(parts, rounded(sql, places) if places else sql)
-        QUERIES[name] = Query(build, places, text)
-        return build
-
-    return register
-
-
-def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
-    entry = QUERIES[name]
-    df = entry.build(shop_for(spark, folder))
-    # Adding 0.0 turns a rounded -0.0 into 0.0.
-    changes = {
-        c: half_even(F.col(c), n) + F.lit(0.0)
-        for n, names in entry.places.items() for c in names.split()
-    }
-    return df.withColumns(changes) if changes else df
-
-
 # Cleaning and quality ------------------------------------------------------------
 
 @query("clean_tx", {2: "revenue"}, "tx",
@@ -201,16 +164,19 @@ def _(shop):
     return rejected_lines(_text_lines(shop), CleaningRules(country=None))
 
 
-@query("schema_report", None, "", """
-    SELECT column1 AS required_column, column2 AS status, column3 AS matched_as FROM (
-        SELECT unnest(['InvoiceNo', 'StockCode', 'Description', 'Quantity', 'InvoiceDate', 'UnitPrice', 'CustomerID', 'Country']) AS column1,
-               unnest(['Missing', 'Found', 'Found', 'Found', 'Found', 'Found', 'Found', 'Missing']) AS column2,
-               unnest([NULL, 'stock_code', 'product_name', 'qty', 'date', 'unit_price', 'cust_id', NULL]) AS column3)
-    WHERE (SELECT count(*) FROM lineitem) > 0""")
+@query("schema_report", None, "", f"""
+    SELECT column1 AS required_column, column2 AS status, column3 AS matched_as,
+           CASE column1 WHEN 'StockCode' THEN codes WHEN 'Description' THEN names WHEN 'Quantity' THEN numbers
+                        WHEN 'InvoiceDate' THEN days WHEN 'UnitPrice' THEN prices ELSE 0 END AS usable_values, row_count
+    FROM (SELECT unnest(['InvoiceNo', 'StockCode', 'Description', 'Quantity', 'InvoiceDate', 'UnitPrice', 'CustomerID', 'Country']) AS column1,
+                 unnest(['Missing', 'Found', 'Found', 'Found', 'Found', 'Found', 'Missing', 'Missing']) AS column2,
+                 unnest([NULL, 'stock_code', 'product_name', 'qty', 'date', 'unit_price', NULL, NULL]) AS column3)
+    CROSS JOIN (SELECT count(*) AS row_count, count(*) FILTER (trim(stock_code) <> '') AS codes, count(description) AS names,
+                       count(*) FILTER (k % 19 NOT IN (0, 1, 2, 3)) AS numbers, count(*) FILTER (k % 17 <> 0) AS days,
+                       count(*) FILTER (k % 23 NOT IN (0, 1, 2, 3)) AS prices FROM ({_TEXT_LINES}))""")
 def _(shop):
-    names = {"invoice_no": "number", "description": "product_name", "quantity": "qty", "invoice_date": "date",
-             "customer_id": "cust_id", "country": "land"}
-    return quality.schema_report(shop.raw.withColumnsRenamed(names))
+    names = {"invoice_no": "number", "description": "product_name", "quantity": "qty", "invoice_date": "date"}
+    return quality.schema_report(_text_lines(shop).withColumnsRenamed(names))
 
 
 @query("description_mode", None, "", """
@@ -605,29 +571,17 @@ _FEATURE_COLUMNS = {
 }
 
 
-_MOMENTUM = ("revenue", "unit_price", "demand_momentum", "demand_volatility", "revenue_vs_28d_avg")
-
-
-@query("target_correlation", {6: "correlation"}, "momentum", """
-    SELECT * FROM (
-        SELECT 'revenue' AS feature, corr(revenue, quantity) AS correlation FROM momentum
-        UNION ALL SELECT 'unit_price', corr(unit_price, quantity) FROM momentum
-        UNION ALL SELECT 'demand_momentum', corr(demand_momentum, quantity) FROM momentum
-        UNION ALL SELECT 'demand_volatility', corr(demand_volatility, quantity) FROM momentum
-        UNION ALL SELECT 'revenue_vs_28d_avg', corr(revenue_vs_28d_avg, quantity) FROM momentum)
-    ORDER BY abs(correlation) DESC, feature LIMIT 4""")
+@query("target_correlation", {6: "correlation"}, "pairs", """
+    SELECT y AS feature, correlation FROM pairs WHERE x = 'quantity' AND y <> 'quantity' AND correlation IS NOT NULL
+    ORDER BY abs(correlation) DESC, feature LIMIT 15""")
 def _(shop):
-    names = ["revenue", "unit_price", "demand_momentum", "demand_volatility", "revenue_vs_28d_avg"]
-    return quality.top_correlated(shop.history, "quantity", names, 4)
+    return quality.top_correlated(shop.history, "quantity", list(HISTORY_NUMBERS), 15)
 
 
-@query("correlation_matrix", {6: "correlation"}, "by_product", """
-    SELECT 'total_revenue' AS x, 'total_quantity' AS y, corr(total_revenue, total_quantity) AS correlation FROM by_product
-    UNION ALL SELECT 'total_quantity', 'total_revenue', corr(total_quantity, total_revenue) FROM by_product
-    UNION ALL SELECT 'total_revenue', 'total_revenue', corr(total_revenue, total_revenue) FROM by_product
-    UNION ALL SELECT 'total_quantity', 'total_quantity', corr(total_quantity, total_quantity) FROM by_product""")
+@query("correlation_matrix", {6: "correlation"}, "pairs", "SELECT x, y, n, correlation FROM pairs")
 def _(shop):
-    return quality.correlation_matrix(shop.by_product, ["total_revenue", "total_quantity"])
+    """Of all numbers of the feature history."""
+    return quality.correlation_matrix(shop.history, list(HISTORY_NUMBERS))
 
 
 _RAW_TYPES = {
@@ -643,37 +597,31 @@ def _(shop):
     return quality.missing_report(shop.raw)
 
 
-_SALES_NUMBERS = "quantity revenue avg_unit_price num_orders num_customers is_promotion".split()
+_DESCRIBE = """
+    SELECT feature, count(value) AS n, avg(value) AS mean, stddev_samp(value) AS std, min(value) AS min,
+           quantile_cont(value, 0.25) AS q25, quantile_cont(value, 0.5) AS median, quantile_cont(value, 0.75) AS q75,
+           max(value) AS max, (count(*) - count(value)) / count(*) * 100 AS null_pct
+    FROM melted GROUP BY feature"""
+_DESCRIBED = {4: "mean std min q25 median q75 max", 2: "null_pct"}
 
 
-@query("widest_columns", {4: "mean std min max", 2: "null_pct"}, "sales", f"""
-    SELECT * FROM ({' UNION ALL '.join(
-        f"SELECT '{c}' AS feature, count({c}) AS n, avg({c}) AS mean, stddev_samp({c}) AS std, min({c})::DOUBLE AS min, "
-        f"max({c})::DOUBLE AS max, (count(*) - count({c})) / count(*) * 100 AS null_pct FROM sales" for c in _SALES_NUMBERS)})
-    ORDER BY std DESC, feature LIMIT 4""")
+@query("widest_columns", _DESCRIBED, "melted", f"SELECT * FROM ({_DESCRIBE}) ORDER BY std DESC, feature LIMIT 10")
 def _(shop):
-    return quality.most_variable(quality.column_stats(shop.sales, _SALES_NUMBERS), 4)
+    return quality.most_variable(quality.column_stats(shop.history, list(HISTORY_NUMBERS)), 10)
 
 
-@query("correlation_chain", {6: "correlation"}, "momentum", f"""
-    WITH pairs AS ({' UNION ALL '.join(
-        f"SELECT '{a}' AS x, '{b}' AS y, corr({a}, {b}) AS correlation FROM momentum"
-        for a in ("quantity", *_MOMENTUM) for b in ("quantity", *_MOMENTUM))}),
-    strongest AS (SELECT y AS name FROM pairs WHERE x = 'quantity' AND y <> 'quantity'
-                  ORDER BY abs(correlation) DESC, y LIMIT 3)
-    SELECT x, y, correlation FROM pairs
-    WHERE (x = 'quantity' OR x IN (SELECT name FROM strongest)) AND (y = 'quantity' OR y IN (SELECT name FROM strongest))""")
+@query("correlation_chain", {6: "correlation"}, "pairs", """
+    WITH strongest AS (SELECT y AS name FROM pairs WHERE x = 'quantity' AND y <> 'quantity' AND correlation IS NOT NULL
+                       ORDER BY abs(correlation) DESC, y LIMIT 15)
+    SELECT x, y, n, correlation FROM pairs
+    WHERE (x = 'quantity' OR x IN (FROM strongest)) AND (y = 'quantity' OR y IN (FROM strongest))""")
 def _(shop):
-    return quality.strongest_matrix(shop.history, "quantity", list(_MOMENTUM), 3)
+    return quality.strongest_matrix(shop.history, "quantity", list(HISTORY_NUMBERS), 15)
 
 
-@query("feature_stats", {4: "mean std min max", 2: "null_pct"}, "roll", """
-    SELECT 'quantity' AS feature, count(*) AS n, avg(quantity) AS mean, stddev_samp(quantity) AS std,
-           min(quantity) AS min, max(quantity) AS max, 0.0 AS null_pct FROM roll
-    UNION ALL SELECT 'quantity_roll_mean_28', count(m), avg(m), stddev_samp(m), min(m), max(m),
-           (count(*) - count(m)) / count(*) * 100 FROM (SELECT CASE WHEN n > 14 THEN m28 END AS m FROM roll)""")
+@query("feature_stats", _DESCRIBED, "melted", _DESCRIBE)
 def _(shop):
-    return quality.column_stats(shop.history, ["quantity", "quantity_roll_mean_28"])
+    return quality.column_stats(shop.history, list(HISTORY_NUMBERS))
 
 
 _feature_table_query()
@@ -1160,3 +1108,6 @@ def _(shop):
 @query("sku_trend_seasonal")
 def _(shop):
     return forecast.trend_seasonal(shop.sales)
+
+
+from checks import demand  # noqa: E402, F401

@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larder.operators.calendar import build_calendar, date_span
-from larder.operators.daily import build_sales_daily, daily_sales
+from larder.operators.daily import build_sales_daily, daily_sales, flag_promotions
 from larder.operators.features import finish_features, history_features
 from larder.operators.folds import recent_history, with_min_history
 from larder.operators.ordered import latest_per_key
@@ -66,6 +66,10 @@ class Shop:
     def daily(self) -> DataFrame:
         return daily_sales(self.tx)
 
+    @cached_property
+    def flagged(self) -> DataFrame:
+        return flag_promotions(self.daily)
+
     @cached_property
     def span(self) -> DataFrame:
         return date_span(self.tx)

@@ -2,6 +2,16 @@
 
 from __future__ import annotations
 
+#: The numbers of the feature history.
+HISTORY_NUMBERS = (
+    "quantity", "revenue", "unit_price", "num_orders", "num_customers", "is_promotion",
+    *[f"quantity_lag{n}" for n in (1, 7, 14, 21, 28, 35)], *[f"revenue_lag{n}" for n in (7, 14, 28)], "qty_lag7_same_dow",
+    *[f"{name}_roll_{stat}_{w}" for name, widths in (("quantity", (7, 14, 28, 56)), ("revenue", (7, 28)))
+      for w in widths for stat in ("mean", "median", "std")],
+    "price_change_7d", "price_vs_avg", "promotion_lag1", "promotion_roll7", "cumulative_qty", "demand_trend_slope", "revenue_trend",
+    "demand_momentum", "demand_volatility", "demand_acceleration", "revenue_vs_28d_avg", "qty_ewma_7", "qty_ewma_28",
+)
+
 PARTS = {
     "raw": ("", """
         SELECT (CASE WHEN l_returnflag = 'R' THEN 'C' ELSE '' END) || l_orderkey::VARCHAR AS invoice_no,
@@ -159,6 +169,44 @@ PARTS = {
                      coalesce(revenue / CASE WHEN n > 14 THEN greatest(rm28, 0.001) END, 1.0)
                          AS revenue_vs_28d_avg
               FROM roll)"""),
+    "ewma": ("roll", """
+        SELECT a.stock_code, a.date,
+               CASE WHEN a.n > 3 THEN sum(b.quantity * pow(1 - 2 / 8.0, a.n - 1 - b.n)) / sum(pow(1 - 2 / 8.0, a.n - 1 - b.n)) END AS qty_ewma_7,
+               CASE WHEN a.n > 7 THEN sum(b.quantity * pow(1 - 2 / 29.0, a.n - 1 - b.n)) / sum(pow(1 - 2 / 29.0, a.n - 1 - b.n)) END AS qty_ewma_28
+        FROM roll a LEFT JOIN roll b ON a.stock_code = b.stock_code AND b.n < a.n AND b.n >= a.n - 700
+        GROUP BY a.stock_code, a.date, a.n"""),
+    "wide": ("roll momentum ewma", """
+        SELECT r.stock_code, r.date, r.quantity, r.revenue, r.avg_unit_price AS unit_price, num_orders, num_customers, is_promotion,
+               LAGS, lag(r.quantity) OVER (PARTITION BY r.stock_code, isodow(r.date) ORDER BY r.date) AS qty_lag7_same_dow, ROLLS,
+               coalesce(r.avg_unit_price / lag(r.avg_unit_price, 7) OVER w - 1, 0) AS price_change_7d,
+               coalesce(r.avg_unit_price / avg(r.avg_unit_price) OVER (PARTITION BY r.stock_code ORDER BY r.date
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1) AS price_vs_avg,
+               coalesce(lag(is_promotion) OVER w, 0) AS promotion_lag1,
+               sum(is_promotion) OVER (PARTITION BY r.stock_code ORDER BY r.date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS promotion_roll7,
+               sum(r.quantity) OVER (PARTITION BY r.stock_code ORDER BY r.date ROWS UNBOUNDED PRECEDING) AS cumulative_qty,
+               CASE WHEN n > 14 THEN regr_slope(r.quantity, n) OVER s ELSE 0 END AS demand_trend_slope,
+               CASE WHEN n > 14 THEN regr_slope(r.revenue, n) OVER s ELSE 0 END AS revenue_trend,
+               demand_momentum, demand_volatility, demand_acceleration, revenue_vs_28d_avg, qty_ewma_7, qty_ewma_28
+        FROM roll r JOIN momentum m ON m.stock_code = r.stock_code AND m.date = r.date
+        JOIN ewma e ON e.stock_code = r.stock_code AND e.date = r.date
+        WINDOW w AS (PARTITION BY r.stock_code ORDER BY r.date),
+               s AS (PARTITION BY r.stock_code ORDER BY r.date ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING)""".replace(
+            "LAGS", ", ".join(f"lag(r.{c}, {n}) OVER w AS {c}_lag{n}" for c, ns in (("quantity", (1, 7, 14, 21, 28, 35)), ("revenue", (7, 14, 28))) for n in ns)
+        ).replace("ROLLS", ", ".join(
+            f"CASE WHEN n > {w // 2} THEN {p}{a}{w} END AS {name}_roll_{stat}_{w}"
+            for name, p, widths in (("quantity", "", (7, 14, 28, 56)), ("revenue", "r", (7, 28)))
+            for w in widths for stat, a in (("mean", "m"), ("median", "md"), ("std", "s")))),
+    ),
+    "pairs": ("wide", """
+        SELECT split_part(name, '|', 1) AS x, split_part(name, '|', 2) AS y, v.n AS n, v.c AS correlation
+        FROM (UNPIVOT (SELECT PAIRS FROM wide) ON COLUMNS(*) INTO NAME name VALUE v)""".replace("PAIRS", ", ".join(
+            f"{{'n': regr_count({a}, {b}), 'c': CASE WHEN isfinite(corr({a}, {b})) THEN corr({a}, {b}) END}} AS \"{a}|{b}\""
+            for a in HISTORY_NUMBERS for b in HISTORY_NUMBERS)),
+    ),
+    "melted": ("wide", """
+        SELECT feature, value FROM (SELECT FIELDS FROM wide)
+        UNPIVOT INCLUDE NULLS (value FOR feature IN (NAMES))""".replace(
+            "FIELDS", ", ".join(f"{c}::DOUBLE AS {c}" for c in HISTORY_NUMBERS)).replace("NAMES", ", ".join(HISTORY_NUMBERS))),
     "risk_base": ("momentum latest products", """
         SELECT l.stock_code, p.description, p.category, coalesce(p.abc_class, 'C') AS abc_class,
                l.closing_inventory, l.coverage_days, l.reorder_point, l.eoq, l.inventory_value,

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def half_even(value: Column, places: int = 2) -> Column:
     """Scaled round-half-to-even, as numeric libraries round float arrays."""
     scale = float(10**places)

@@ -51,7 +51,7 @@ def canonical_names(df: DataFrame) -> DataFrame:
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?$"
 
 
-def _number(df: DataFrame, name: str) -> Column:
+def number_of(df: DataFrame, name: str) -> Column:
     """A column as a double; text that is no plain number, and NaN, become null."""
     value = F.col(name)
     if isinstance(df.schema[name].dataType, T.StringType):
@@ -61,10 +61,11 @@ def _number(df: DataFrame, name: str) -> Column:
     return F.when(~F.isnan(number), number)
 
 
-def _parsed_time(df: DataFrame, rules: CleaningRules) -> Column:
-    if isinstance(df.schema["invoice_date"].dataType, (T.TimestampType, T.DateType)):
-        return F.col("invoice_date").cast("timestamp")
-    text = F.trim(F.col("invoice_date"))
+def time_of(df: DataFrame, rules: CleaningRules, name: str = "invoice_date") -> Column:
+    """A column as a timestamp, by the first format that reads its text; null if none does."""
+    if isinstance(df.schema[name].dataType, (T.TimestampType, T.DateType)):
+        return F.col(name).cast("timestamp")
+    text = F.trim(F.col(name))
     return F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)) for fmt in rules.timestamp_formats])
 
 
@@ -74,7 +75,7 @@ def _rejections(raw: DataFrame, rules: CleaningRules) -> dict[str, Column]:
     foreign = F.lit(False)
     if rules.country is not None and "country" in raw.columns:
         foreign = F.coalesce(F.col("country") != rules.country, F.lit(True))
-    above_zero = lambda name: F.coalesce(_number(raw, name) > 0, F.lit(False))
+    above_zero = lambda name: F.coalesce(number_of(raw, name) > 0, F.lit(False))
     return {
         "cancelled": F.coalesce(
             F.col("invoice_no").cast("string").startswith(rules.cancel_prefix), F.lit(False)
@@ -82,7 +83,7 @@ def _rejections(raw: DataFrame, rules: CleaningRules) -> dict[str, Column]:
         "no_stock_code": code.isNull(),
         "not_a_product": F.coalesce(F.trim(code).isin(list(rules.excluded_codes)), F.lit(False)),
         "other_country": foreign,
-        "unreadable_date": _parsed_time(raw, rules).isNull(),
+        "unreadable_date": time_of(raw, rules).isNull(),
         "quantity_not_positive": ~above_zero("quantity"),
         "price_not_positive": ~above_zero("unit_price"),
     }
@@ -122,9 +123,9 @@ def clean_transactions(raw: DataFrame, rules: CleaningRules = CleaningRules()) -
 
     typed = kept.withColumns(
         {
-            "invoice_date": _parsed_time(raw, rules),
-            "quantity": _number(raw, "quantity"),
-            "unit_price": _number(raw, "unit_price"),
+            "invoice_date": time_of(raw, rules),
+            "quantity": number_of(raw, "quantity"),
+            "unit_price": number_of(raw, "unit_price"),
         }
     ).where(
         F.col("invoice_date").isNotNull() & (F.col("quantity") > 0) & (F.col("unit_price") > 0)

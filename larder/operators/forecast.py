@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from larder.config import ForecastRules
 from larder.functions.dates import FORECAST_DATE_PARTS, calendar_columns
+from larder.functions.numbers import let
 from larder.operators.baselines import seasonal_naive
 from larder.operators.models import model_input, predict
 from larder.operators.ordered import latest_per_key
@@ -150,56 +150,73 @@ def predict_range(
 
 # Trend and seasonality per product -------------------------------------------
 
-TREND_SCHEMA = "stock_code string, date date, actual double, predicted double, wape double"
+#: Fourier pairs by their period in days.
+SEASONS = ((7.0, 3), (365.25, 5))
+_RIDGE = 1e-3
 
 
-def _seasonal_terms(days: np.ndarray) -> np.ndarray:
-    """Intercept, trend, three weekly and five yearly Fourier pairs."""
-    terms = [np.ones_like(days), days / 365.0]
-    for period, pairs in ((7.0, 3), (365.25, 5)):
+def seasonal_terms(day: Column) -> list[Column]:
+    """Intercept, trend, three weekly and five yearly Fourier pairs of a day number."""
+    terms = [F.lit(1.0), day / 365.0]
+    for period, pairs in SEASONS:
         for k in range(1, pairs + 1):
-            angle = 2 * np.pi * k * days / period
-            terms += [np.sin(angle), np.cos(angle)]
-    return np.column_stack(terms)
-
-
-def _trend_of_product(rows: pd.DataFrame, horizon: int, min_rows: int) -> pd.DataFrame:
-    rows = rows.sort_values("date", ignore_index=True)
-    actual = rows["quantity"].clip(lower=0).to_numpy(dtype=float)
-    split = max(10, len(rows) - horizon)
-    held = rows.iloc[split:]
-    if len(rows) < min_rows or held.empty:
-        held = rows.iloc[-1:]
-        return held.assign(actual=held["quantity"], predicted=0.0, wape=float("inf"))[
-            ["stock_code", "date", "actual", "predicted", "wape"]
-        ]
-    days = pd.to_datetime(rows["date"]).to_numpy().astype("datetime64[D]").astype(float)
-    terms = _seasonal_terms(days - days[0])
-    # A small ridge keeps short series solvable.
-    past = terms[:split]
-    weights = np.linalg.solve(past.T @ past + 1e-3 * np.eye(past.shape[1]), past.T @ actual[:split])
-    predicted = np.clip(terms[split:] @ weights, 0.0, None)
-    size = np.abs(actual[split:]).sum()
-    wape = np.abs(actual[split:] - predicted).sum() / size if size else 0.0
-    return pd.DataFrame(
-        {
-            "stock_code": held["stock_code"],
-            "date": held["date"],
-            "actual": actual[split:],
-            "predicted": predicted,
-            "wape": wape,
-        }
-    )
+            angle = day * (2 * math.pi * k / period)
+            terms += [F.sin(angle), F.cos(angle)]
+    return terms
+
+
+def normal_equations(terms: list[str], target: str) -> Column:
+    """Aggregate: the rows of the least-squares system with its right side, as sums of products of columns."""
+    sums = {(i, j): F.sum(F.col(a) * F.col(b)) for i, a in enumerate(terms) for j, b in enumerate(terms) if i <= j}
+    ridge = lambda i, j: sums[min(i, j), max(i, j)] + (_RIDGE if i == j else 0.0)
+    return F.array(*[
+        F.array(*[ridge(i, j) for j in range(len(terms))], F.sum(F.col(a) * F.col(target))) for i, a in enumerate(terms)
+    ])
+
+
+def solved(system: Column, size: int) -> Column:
+    """The solution of a positive definite system of ``size`` rows with its right side, by elimination.
+
+    A step scales the pivot's row and takes it out of all others; such a system needs no
+    other choice of pivots.
+    """
+
+    def step(rows: Column, j: Column) -> Column:
+        scaled = lambda row: F.transform(row, lambda x: x / F.get(row, j))
+        clear = lambda row, pivot: F.zip_with(row, pivot, lambda x, p: x - F.get(row, j) * p)
+        return let(scaled(F.get(rows, j)), lambda pivot: F.transform(
+            rows, lambda row, i: F.when(i == j, pivot).otherwise(clear(row, pivot))))
+
+    rows = F.aggregate(F.sequence(F.lit(0), F.lit(size - 1)), system, step)
+    return F.transform(rows, lambda row: F.get(row, F.lit(size)))
 
 
 def trend_seasonal(sales: DataFrame, horizon: int = 28, min_rows: int = 30) -> DataFrame:
-    """Hold out the last ``horizon`` days of each product and predict them.
+    """Hold out the last ``horizon`` days of each product and predict them; no Python runs.
 
-    Least squares on trend, weekly and yearly terms. Too short a series gets an
-    infinite WAPE. A group is one product, one row per day.
+    Least squares on trend, weekly and yearly terms: the normal equations of all products
+    are grouped sums, solved by array functions. Too short a series gets its last day,
+    with prediction 0 and an infinite WAPE. A product has one row per day; all steps
+    share one partitioning by product. Columns: stock_code, date, actual, predicted, wape.
     """
-    return (
-        sales.select("stock_code", "date", "quantity")
-        .groupBy("stock_code")
-        .applyInPandas(lambda rows: _trend_of_product(rows, horizon, min_rows), TREND_SCHEMA)
+    product = Window.partitionBy("stock_code")
+    counted = sales.select("stock_code", "date", F.greatest(F.col("quantity"), F.lit(0.0)).alias("actual"), F.col("quantity").alias("_raw")).withColumns({
+        "_at": F.row_number().over(product.orderBy("date")) - 1,
+        "_rows": F.count("*").over(product),
+        "_day": F.date_diff("date", F.min("date").over(product)),
+    })
+    split = F.greatest(F.lit(10), F.col("_rows") - horizon)
+    short = (F.col("_rows") < min_rows) | (F.col("_rows") <= split)
+    names = [f"_term{k}" for k in range(2 + 2 * sum(n for _, n in SEASONS))]
+    rows = counted.withColumns({"_held": F.col("_at") >= split, "_short": short, **dict(zip(names, seasonal_terms(F.col("_day"))))})
+    too_short = rows.where(F.col("_short") & (F.col("_at") == F.col("_rows") - 1)).select(
+        "stock_code", "date", F.col("_raw").cast("double").alias("actual"), F.lit(0.0).alias("predicted"), F.lit(float("inf")).alias("wape")
     )
+    enough = rows.where("not _short")
+    systems = enough.where("not _held").groupBy("stock_code").agg(normal_equations(names, "actual").alias("_system"))
+    weights = systems.select("stock_code", solved(F.col("_system"), len(names)).alias("_weights"))
+    value = sum((F.get(F.col("_weights"), F.lit(k)) * F.col(name) for k, name in enumerate(names)), F.lit(0.0))
+    held = enough.where("_held").join(weights, "stock_code").withColumn("predicted", F.greatest(value, F.lit(0.0)))
+    missed = F.sum(F.abs(F.col("actual") - F.col("predicted"))).over(product)
+    wape = F.coalesce(F.try_divide(missed, F.sum(F.abs("actual")).over(product)), F.lit(0.0))
+    return held.select("stock_code", "date", "actual", "predicted", wape.alias("wape")).unionByName(too_short)

@@ -2,22 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from larder.config import HEADER_SPELLINGS
+from larder.config import CleaningRules, HEADER_SPELLINGS
+from larder.operators.cleaning import number_of, time_of
+from larder.operators.moments import column_pairs
+from larder.operators.ranks import is_number, melted, quantiles
+from larder.plans.lineage import pin
 
 
-def schema_report(df: DataFrame) -> DataFrame:
-    """For every expected column: found or missing, and the first matching spelling."""
+#: Columns of which only certain texts are of use; of the others anything but blanks is.
+_NUMBERS, _DATES = ("Quantity", "UnitPrice"), ("InvoiceDate",)
+
+
+def _usable(df: DataFrame, name: str, column: str, rules: CleaningRules) -> Column:
+    if name in _NUMBERS:
+        return number_of(df, column).isNotNull()
+    if name in _DATES:
+        return time_of(df, rules, column).isNotNull()
+    return F.trim(F.col(column).cast("string")) != ""
+
+
+def schema_report(df: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
+    """For every expected column: found or missing, the first matching spelling, and how many of its values are of use.
+
+    A number or a date is of use if cleaning can read it, any other value if it isn't
+    blank. One scan of the matched columns; a missing column has none.
+    """
     present = set(df.columns)
-    rows = []
-    for name, spellings in HEADER_SPELLINGS.items():
-        matched = next((s for s in spellings if s in present), None)
-        rows.append((name, "Found" if matched else "Missing", matched))
-    return df.sparkSession.createDataFrame(
-        rows, "required_column string, status string, matched_as string"
+    matched = {name: next((s for s in spellings if s in present), None) for name, spellings in HEADER_SPELLINGS.items()}
+    counts = df.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        *[F.count_if(_usable(df, name, m, rules)).alias(name) for name, m in matched.items() if m],
     )
+    entries = [
+        F.struct(
+            F.lit(name).alias("required_column"), F.lit("Found" if m else "Missing").alias("status"),
+            F.lit(m).cast("string").alias("matched_as"), (F.col(name) if m else F.lit(0)).cast("long").alias("usable_values"),
+            F.col("row_count"),
+        )
+        for name, m in matched.items()
+    ]
+    return counts.select(F.inline(F.array(*entries)))
 
 
 def quality_overview(df: DataFrame) -> DataFrame:
@@ -62,47 +89,38 @@ def missing_report(df: DataFrame) -> DataFrame:
 
 
 def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Count, mean, deviation, range and null share per column, in one scan."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[
-            F.struct(
-                F.count(c).alias("n"),
-                F.avg(c).alias("mean"),
-                F.stddev_samp(c).alias("std"),
-                F.min(c).cast("double").alias("min"),
-                F.max(c).cast("double").alias("max"),
-            ).alias(c)
-            for c in columns
-        ],
+    """Count, mean, deviation, range, quartiles and null share per column.
+
+    Rows are melted to one per column, so any number of columns is one grouped
+    aggregation; the quartiles are exact and need no sorted column. ``df`` is read
+    several times and should be stored. NaN and infinite values count as null.
+    """
+    values = melted(df, columns)
+    value = F.when(is_number(F.col("value")), F.col("value"))
+    stats = values.withColumn("value", value).groupBy("feature").agg(
+        F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"), F.max("value").alias("max"),
+        F.round(F.try_divide(F.count_if(F.col("value").isNull()), F.count(F.lit(1))) * 100, 2).alias("null_pct"),
+    )
+    quartiles = quantiles(values, ["feature"], "value", {"q25": 0.25, "median": 0.5, "q75": 0.75})
+    return stats.join(quartiles, "feature", "left").select(
+        "feature", "n", "mean", "std", "min", "q25", "median", "q75", "max", "null_pct"
     )
-    entries = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.col(f"{c}.n").alias("n"),
-            F.col(f"{c}.mean").alias("mean"),
-            F.col(f"{c}.std").alias("std"),
-            F.col(f"{c}.min").alias("min"),
-            F.col(f"{c}.max").alias("max"),
-            F.round(
-                F.try_divide(F.col("_rows") - F.col(f"{c}.n"), F.col("_rows")) * 100, 2
-            ).alias("null_pct"),
-        )
-        for c in columns
-    ]
-    return counts.select(F.inline(F.array(*entries)))
+
+
+def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Pairwise correlations as rows (x, y, n, correlation); ``n`` rows have both. Null where a side is constant."""
+    return column_pairs(df, columns).select("x", "y", "n", "correlation")
+
+
+def _with_target(pairs: DataFrame, target: str) -> DataFrame:
+    return pairs.where((F.col("x") == target) & (F.col("y") != target) & F.col("correlation").isNotNull())
 
 
 def target_correlation(df: DataFrame, target: str, columns: list[str]) -> DataFrame:
-    """Correlation of each column with the target, all in one scan."""
-    counts = df.agg(*[F.corr(c, target).alias(c) for c in columns])
-    entries = [
-        F.struct(F.lit(c).alias("feature"), F.col(c).alias("correlation")) for c in columns
-    ]
-    return (
-        counts.select(F.inline(F.array(*entries)))
-        .where(F.col("correlation").isNotNull() & ~F.isnan("correlation"))
-    )
+    """Correlation of each column with the target, where there is one."""
+    pairs = column_pairs(df, [target, *[c for c in columns if c != target]])
+    return _with_target(pairs, target).select(F.col("y").alias("feature"), "correlation")
 
 
 def top_correlated(df: DataFrame, target: str, columns: list[str], n: int) -> DataFrame:
@@ -110,32 +128,18 @@ def top_correlated(df: DataFrame, target: str, columns: list[str], n: int) -> Da
     return target_correlation(df, target, columns).orderBy(strongest, "feature").limit(n)
 
 
-def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pairwise correlations as rows (x, y, correlation), in one scan.
-
-    Each pair is computed once and shown both ways.
-    """
-    names = {
-        (a, b): f"{a}|{b}" for i, a in enumerate(columns) for b in columns[i:]
-    }
-    values = df.agg(*[F.corr(a, b).alias(name) for (a, b), name in names.items()])
-    entries = [
-        F.struct(
-            F.lit(a).alias("x"), F.lit(b).alias("y"),
-            F.col(f"`{names.get((a, b)) or names[b, a]}`").alias("correlation"),
-        )
-        for a in columns for b in columns
-    ]
-    return values.select(F.inline(F.array(*entries)))
-
-
 def strongest_matrix(df: DataFrame, target: str, columns: list[str], n: int) -> DataFrame:
     """The correlation matrix of the target and the ``n`` columns most correlated with it.
 
-    The driver gets the ``n`` names.
+    One pass gives all pairs, from which both steps read.
     """
-    chosen = [row["feature"] for row in top_correlated(df, target, columns, n).collect()]
-    return correlation_matrix(df, [target, *chosen])
+    pairs = pin(correlation_matrix(df, [target, *[c for c in columns if c != target]]))
+    ranked = _with_target(pairs, target).orderBy(F.desc(F.abs("correlation")), "y").limit(n)
+    chosen = pin(ranked.select(F.col("y").alias("name")).unionByName(ranked.select(F.lit(target).alias("name")).limit(1)))
+    return (
+        pairs.join(chosen.withColumnRenamed("name", "x"), "x", "left_semi")
+        .join(chosen.withColumnRenamed("name", "y"), "y", "left_semi").select("x", "y", "n", "correlation")
+    )
 
 
 def most_variable(stats: DataFrame, n: int = 10) -> DataFrame:

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,8 +30,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
-# Paths pinned inside each open ``pins_released``, the innermost last.
-_open_runs: list[list[str]] = []
+# Paths made inside each open ``pins_released`` of this thread or task, the innermost last.
+_open_runs: ContextVar[tuple[list[str], ...]] = ContextVar("open_runs", default=())
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -38,6 +39,21 @@ def _file_system(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the checkpoint folder, for tables that a plan needs for a while.
+
+    It is deleted when the application ends, or at the end of the ``pins_released``
+    block around the call.
+    """
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    files, place = _file_system(spark, path)
+    files.mkdirs(place)  # what isn't there can't be marked for deletion
+    files.deleteOnExit(place)
+    if runs := _open_runs.get():
+        runs[-1].append(path)
+    return path
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Write ``df`` to shared storage and read it back, so later steps see one fixed result.
 
@@ -46,12 +62,8 @@ def pin(df: DataFrame) -> DataFrame:
     application ends, or at the end of the ``pins_released`` block around it.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/pinned-{uuid.uuid4().hex}"
-    files, place = _file_system(spark, path)
+    path = scratch(spark, "pinned") + "/rows"
     df.write.parquet(path)
-    files.deleteOnExit(place)
-    if _open_runs:
-        _open_runs[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -59,11 +71,11 @@ def pin(df: DataFrame) -> DataFrame:
 def pins_released(spark: SparkSession) -> Iterator[None]:
     """Deletes what is pinned inside the block when it ends; results must be stored by then."""
     paths: list[str] = []
-    _open_runs.append(paths)
+    before = _open_runs.set((*_open_runs.get(), paths))
     try:
         yield
     finally:
-        _open_runs.remove(paths)
+        _open_runs.reset(before)
         for path in paths:
             files, place = _file_system(spark, path)
             files.delete(place, True)

@@ -141,3 +141,41 @@ def test_backtest(spark, history):
     rows = evaluation.backtest_rows(history, made, 30)
     summary = evaluation.backtest_summary(rows).first()
     assert (summary["n"], summary["bias"], summary["mae"]) == (90, 1.0, 1.0)
+
+
+def plain_trend(days, actual, horizon):
+    """Least squares by NumPy on the same terms and ridge."""
+    terms = [np.ones_like(days), days / 365.0]
+    for period, pairs in ((7.0, 3), (365.25, 5)):
+        for k in range(1, pairs + 1):
+            terms += [np.sin(2 * np.pi * k * days / period), np.cos(2 * np.pi * k * days / period)]
+    x, split = np.column_stack(terms), max(10, len(days) - horizon)
+    past = x[:split]
+    weights = np.linalg.solve(past.T @ past + 1e-3 * np.eye(x.shape[1]), past.T @ actual[:split])
+    predicted = np.clip(x[split:] @ weights, 0, None)
+    size = np.abs(actual[split:]).sum()
+    return predicted, np.abs(actual[split:] - predicted).sum() / size if size else 0.0
+
+
+def test_trend_equals_numpy_and_runs_no_python(spark):
+    rng = np.random.default_rng(7)
+    start, rows, expected = dt.date(2020, 1, 1), [], {}
+    for code, length in (("long", 900), ("year", 365), ("month", 40), ("gaps", 200), ("none", 60), ("short", 29), ("one", 1)):
+        at = np.arange(length) if code != "gaps" else np.sort(rng.choice(600, length, replace=False))
+        value = np.zeros(length) if code == "none" else rng.poisson(5 + 4 * np.sin(at / 58) + 2 * (at % 7 == 3)) - 2.0
+        days = [start + dt.timedelta(days=int(d)) for d in at]
+        rows += [(code, d, float(v)) for d, v in zip(days, value)]
+        if length >= 30:
+            predicted, wape = plain_trend((at - at[0]).astype(float), np.clip(value, 0, None), 14)
+            expected |= {(code, d): (p, wape) for d, p in zip(days[-len(predicted):], predicted)}
+    sales = spark.createDataFrame(rows, "stock_code string, date date, quantity double").repartition(5)
+    found = forecast.trend_seasonal(sales, horizon=14)
+    got = {(r.stock_code, r.date): (r.predicted, r.wape) for r in found.collect()}
+    lone = {k for k in got if k[0] in ("short", "one")}
+    assert len(lone) == 2 and all(got[k] == (0.0, float("inf")) for k in lone)
+    assert set(got) - lone == set(expected)
+    for key, (predicted, wape) in expected.items():
+        assert got[key] == pytest.approx((predicted, wape), abs=1e-6)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "InPandas" not in plan and "Arrow" not in plan
+    assert forecast.trend_seasonal(sales.limit(0)).count() == 0
