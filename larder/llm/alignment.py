@@ -125,30 +125,32 @@ class _Aligner:
         self.names = [n + e for names, end in ((names_a, b"|"), (names_b, b";")) for n in names for e in (b",", end)]
         self.first_b = 2 * len(names_a)
 
-    def ends(self, which: int, ids: list[int], data: bytes) -> np.ndarray | None:
-        """Byte offsets where tokens end; none if the tokens aren't the text."""
-        pieces = (self.a, self.b)[which].pieces
-        if b"".join(map(pieces.__getitem__, ids)) != data:
-            return None
-        return np.cumsum(self.sizes[which][ids])
-
     def align(self, text: str, ids_a: list[int], ids_b: list[int]):
         """(n_a, n_b, n_groups, n_links, digest), pair codes and links of each; None without tokens."""
         data = b" " + text.encode()
-        ends_a, ends_b = self.ends(0, ids_a, data), self.ends(1, ids_b, data)
-        if ends_a is None or ends_b is None:
-            return None
         a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
-        shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        at_a, at_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
-        n = len(shared)
-        size_a, size_b = np.bincount(at_a, minlength=n), np.bincount(at_b, minlength=n)
+        ends_a, ends_b = np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b])
+        # byte-level tokens of the right length are the text, as each piece of it is cut without a change
+        if not len(a) or not len(b) or ends_a[-1] != len(data) or ends_b[-1] != len(data):
+            return None
+        if b"".join(map(self.b.pieces.__getitem__, ids_b)) != data:
+            return None
+        is_end = np.zeros(len(data) + 1, bool)
+        is_end[ends_b] = True
+        cut_a = is_end[ends_a]
+        shared = ends_a[cut_a]
+        is_end[ends_b] = False
+        is_end[shared] = True
+        cut_b = is_end[ends_b]
+        at_a, at_b = np.cumsum(cut_a) - cut_a, np.cumsum(cut_b) - cut_b
+        size_a, size_b = (np.diff(np.flatnonzero(cut), prepend=-1) for cut in (cut_a, cut_b))
+        first_a, first_b = np.cumsum(size_a) - size_a, np.cumsum(size_b) - size_b
         codes, counts = self.pairs(a, b, at_a, at_b, size_a, size_b)
-        last_a, last_b = (np.append(at[1:] != at[:-1], True) for at in (at_a, at_b))
-        names = np.concatenate([2 * a + last_a, self.first_b + 2 * b + last_b])
-        order = np.argsort(np.concatenate([2 * at_a, 2 * at_b + 1]), kind="stable")
-        listed = b"".join(map(self.names.__getitem__, names[order].tolist()))[:-1]
-        facts = (len(a), len(b), n, int((size_a * size_b).sum()), hashlib.sha256(listed).hexdigest())
+        names = np.empty(len(a) + len(b), np.int64)
+        names[np.arange(len(a)) + first_b[at_a]] = 2 * a + cut_a
+        names[np.arange(len(b)) + (first_a + size_a)[at_b]] = self.first_b + 2 * b + cut_b
+        listed = b"".join(map(self.names.__getitem__, names.tolist()))[:-1]
+        facts = (len(a), len(b), len(shared), int((size_a * size_b).sum()), hashlib.sha256(listed).hexdigest())
         return facts, codes, counts
 
     def pairs(self, a, b, at_a, at_b, size_a, size_b):
@@ -161,8 +163,7 @@ class _Aligner:
         total = int(repeats.sum())
         inside = np.arange(total) - np.repeat(np.cumsum(repeats) - repeats, repeats)
         partner = np.repeat(first_b[at_a[own]], repeats) + inside
-        codes = [np.repeat(a[own], repeats) << _ID_BITS | b[partner]]
-        codes, counts = np.unique(codes[0], return_counts=True)
+        codes, counts = np.unique(np.repeat(a[own], repeats) << _ID_BITS | b[partner], return_counts=True)
         if listed.all():
             return codes, counts
         more_codes, more_counts = [codes], [counts]

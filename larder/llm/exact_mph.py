@@ -19,6 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from larder.llm.common import SPACES, fresh, marked, text_or_empty
+from larder.llm.spread import attach
 from larder.plans.lineage import pin
 
 #: Digests of a shard, about; a shard's index is 60 bytes a digest.
@@ -220,7 +221,7 @@ def exact_report(docs: DataFrame) -> DataFrame:
     ``drop_exact`` leaves one of them.
     """
     keys, groups = exact_duplicates(docs)
-    return keys.select("doc_id", "digest").join(groups, "digest").select(
+    return attach(keys.select("doc_id", "digest"), groups, "digest", "group_size").select(
         "doc_id", "keep_id", "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"), "in_history",
@@ -230,8 +231,8 @@ def exact_report(docs: DataFrame) -> DataFrame:
 def drop_exact(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that lose; one row of each distinct text, columns as they came."""
     keys, groups = exact_duplicates(docs.select("doc_id", "text"))
-    many = groups.filter("group_size > 1").select("digest", "keep_id")
-    lost = keys.join(many, "digest").filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "digest").distinct()
+    many = groups.filter("group_size > 1").select("digest", "keep_id", "group_size")
+    lost = attach(keys, many, "digest", "group_size").filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "digest").distinct()
     repeated = keys.groupBy("digest", "doc_id").agg(F.count("*").alias("n")).filter("n > 1")
     twins = repeated.join(many, "digest").filter(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "digest")
     body, lost = fresh(["doc_id", "digest"], "row_"), pin(lost)

@@ -126,9 +126,9 @@ def _largest_gap(state: DataFrame, families: list[str], rate: Column) -> float:
     return worst
 
 
-def draw(name: str = "doc_id") -> Column:
-    """A fixed number from 0 up to 1 for an id: 48 bits of its MD5."""
-    text = F.coalesce(F.col(name).cast("string"), F.lit(""))
+def draw() -> Column:
+    """A fixed number from 0 up to 1 for a document: 48 bits of the MD5 of its id and text."""
+    text = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit("")))
     return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("double") / float(16**12)
 
 
@@ -138,11 +138,12 @@ def _rank(draw_: Column, fraction: Column) -> Column:
 
 
 def _budget_cut(rows: DataFrame, budgets: DataFrame) -> DataFrame:
-    """(source, cut): the last (rank, id, size) within the source's budget.
+    """(source, cut, ties, fit): the last (rank, id, size) within the source's budget, how many rows share it and how many of them fit.
 
     ``rows``: source, rank, id, size; ``budgets``: source, budget. Each digit's
     histogram has 256 rows a source and says in which cell the budget ends; only
-    that cell's rows go on. What is left has one 16-millionth of a source.
+    that cell's rows go on. What is left has one 16-millionth of a source, or repeated
+    rows, which are counted before they meet.
     """
     # of each source: where the cell begins, how wide it is, and what of the budget is left there
     at = budgets.select("source", F.col("budget").alias("left"), F.lit(0.0).alias("low"))
@@ -168,21 +169,30 @@ def _budget_cut(rows: DataFrame, budgets: DataFrame) -> DataFrame:
         open_rows = rows.join(cell, F.col("source").eqNullSafe(F.col("_s"))).filter(
             (F.col("rank") >= F.col("_low")) & (F.col("rank") < F.col("_low") + width)
         ).select(*rows.columns)
+    groups = open_rows.groupBy("source", "rank", "id", "size").agg(F.count("*").alias("ties"))
     order = Window.partitionBy("source").orderBy("rank", "id", "size")
-    middle = F.sum("size").over(order) - F.col("size") / 2
+    through = F.sum(F.col("size") * F.col("ties")).over(order)
+    # a row fits if its middle does
+    room = F.col("left") - F.col("through") + F.col("size") * F.col("ties")
+    fit = F.when(F.col("size") > 0, F.least(F.col("ties"), F.floor(F.try_divide(room, F.col("size")) + 0.5))).when(room >= 0, F.col("ties"))
     last = (
-        open_rows.withColumn("middle", middle)
+        groups.withColumn("through", through)
         .join(at.select(F.col("source").alias("_s"), "left"), F.col("source").eqNullSafe(F.col("_s")))
-        .filter(F.col("middle") <= F.col("left"))
+        .withColumn("fit", fit)
+        .filter("fit > 0")
         .groupBy("source")
-        .agg(F.max(F.struct("rank", "id", "size")).alias("last"))
+        .agg(F.max(F.struct("rank", "id", "size", "ties", "fit")).alias("last"))
+        .select("source", F.struct("last.rank", "last.id", "last.size").alias("last"), "last.ties", "last.fit")
     )
     none = lambda rank: F.struct(rank.alias("rank"), F.lit(_NO_ID).alias("id"), F.lit(0).cast("long").alias("size"))
     return (
         budgets.select("source")
         .join(at.select(F.col("source").alias("_a"), "low"), F.col("source").eqNullSafe(F.col("_a")), "left")
-        .join(last.select(F.col("source").alias("_l"), "last"), F.col("source").eqNullSafe(F.col("_l")), "left")
-        .select("source", F.coalesce("last", F.when(F.col("low").isNotNull(), none(F.col("low"))), none(F.lit(_ALL))).alias("cut"))
+        .join(last.withColumnRenamed("source", "_l"), F.col("source").eqNullSafe(F.col("_l")), "left")
+        .select(
+            "source", F.coalesce("last", F.when(F.col("low").isNotNull(), none(F.col("low"))), none(F.lit(_ALL))).alias("cut"),
+            F.coalesce("ties", F.lit(0)).alias("ties"), F.coalesce("fit", F.lit(0)).alias("fit"),
+        )
     )
 
 
@@ -194,12 +204,30 @@ class Mix:
     sized: DataFrame
 
     def copies(self, rows: DataFrame, name: str = "copies") -> DataFrame:
-        """``rows`` (id, source, size, draw and more) with the plan's columns and a document's copies."""
+        """``rows`` (id, source, size, draw and more) with the plan's columns and a document's copies.
+
+        Rows that share the last place of a budget, as repeated rows do, are numbered
+        within their input partitions, and each partition takes its part of what fits.
+        """
         plan = self.plan.withColumnRenamed("source", "_plan_source")
         joined = rows.join(plan, F.col("source").eqNullSafe(F.col("_plan_source"))).drop("_plan_source")
         mine = F.struct(_rank(F.col("draw"), F.col("fraction")).alias("rank"), F.col("id"), F.col("size"))
-        extra = F.when((F.col("fraction") > 0) & (mine <= F.col("cut")), 1).otherwise(0)
-        return joined.withColumn(name, F.col("whole") + extra)
+        some = F.col("fraction") > 0
+        extra = F.when(some & (mine <= F.col("cut")), 1).otherwise(0)
+        if self.plan.filter("fit < ties").isEmpty():
+            return joined.withColumn(name, F.col("whole") + extra)
+        last = F.coalesce(some & (mine == F.col("cut")) & (F.col("fit") < F.col("ties")), F.lit(False))
+        others = joined.filter(~last).withColumn(name, F.col("whole") + extra)
+        tied = pin(joined.filter(last).withColumn("_part", F.spark_partition_id()))
+        parts = tied.groupBy("source", "_part").agg(F.count("*").alias("_rows"))
+        ahead = Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        ahead = parts.select(
+            F.col("source").alias("_s"), F.col("_part").alias("_p"), F.coalesce(F.sum("_rows").over(ahead), F.lit(0)).alias("_ahead")
+        )
+        inside = F.row_number().over(Window.partitionBy("source", "_part").orderBy("_part"))
+        numbered = tied.withColumn("_nth", inside).join(ahead, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_part") == F.col("_p")))
+        fits = (F.col("_ahead") + F.col("_nth") <= F.col("fit")).cast("int")
+        return others.unionByName(numbered.withColumn(name, F.col("whole") + fits).drop("_part", "_nth", "_s", "_p", "_ahead"))
 
 
 def sized_documents(docs: DataFrame) -> DataFrame:
@@ -214,7 +242,9 @@ def mix_documents(docs: DataFrame, rules: MixRules = MixRules()) -> Mix:
     """The mix of ``docs`` (doc_id, text, source): one pass over the texts.
 
     Null texts have size 0, null is a source of its own, repeated rows are documents
-    of their own that share their draw, and ties of draws are broken by id and size.
+    of their own that share their draw, of which as many are taken as fit; other ties of
+    draws are broken by id and size. Rows that only share an id, or have none, have
+    draws of their own, by their texts.
     """
     sized = pin(sized_documents(docs))
     targets = pin(source_targets(sized, rules))

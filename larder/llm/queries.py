@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,7 +21,7 @@ from larder.llm.rollups import TokenTotals, withdrawn_corpus_totals
 from larder.llm.secrets import secret_report
 from larder.llm.sentencepieces import PieceModel, encoding_report
 from larder.llm.structure_repair import repair_report
-from larder.plans.lineage import checkpoint_dir
+from larder.plans.lineage import scratch
 
 
 def op1_revisits(spark: SparkSession, folder: str) -> DataFrame:
@@ -69,7 +68,7 @@ def op7_markov_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_token_rollups(spark: SparkSession, folder: str) -> DataFrame:
-    tables = TokenTotals(spark, f"{checkpoint_dir(spark)}/rollups-{uuid.uuid4().hex}")
+    tables = TokenTotals(spark, scratch(spark, "rollups"))
     return withdrawn_corpus_totals(spark, folder, tables)
 
 

@@ -31,9 +31,10 @@ class RevisitRules:
 
 
 def canonical_url(url: Column) -> Column:
-    """Scheme, ``www.``, default port, fragment, trailing slash and utm parameters go; the host is lower-cased, the query sorted.
+    """Scheme, ``www.``, ports 80 and 443, fragment, trailing slashes and utm parameters go; the host is lower-cased, the query sorted.
 
-    Null stays null.
+    User info, the case of the path and of the query, percent escapes and dot segments
+    stay as they are. Null stays null.
     """
     bare = F.regexp_replace(F.regexp_replace(F.trim(url), r"#.*$", ""), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
     host = F.regexp_replace(F.lower(F.regexp_extract(bare, r"^[^/?]*", 0)), r"^www[0-9]*\.|:(80|443)$", "")
@@ -95,9 +96,11 @@ def resolve_revisits(captures: DataFrame, rules: RevisitRules = RevisitRules())
     ``resolved`` with the merged headers, ``changed`` if the validators disagree,
     ``unproven`` if the two share none, ``orphan`` without an earlier response (also for
     null URLs and times). Only ``resolved`` rows have headers, all but orphans a
-    response_id. Repeated revisits are each resolved.
+    response_id. Repeated revisits are each resolved. Other columns, whatever their
+    names, aren't looked at.
     """
-    keyed = captures.withColumn("key", canonical_url(F.col("url")))
+    needed = ("record_id", "kind", "at", "digest", "etag", "last_modified", "headers")
+    keyed = captures.select(*needed, canonical_url(F.col("url")).alias("key"))
     own = F.struct("at", "record_id", "digest", "etag", "last_modified", F.map_entries("headers").alias("headers"))
     responses = keyed.filter("kind = 'response'").select("key", "at", own.alias("row"))
     revisits = keyed.filter("kind = 'revisit'")

@@ -88,10 +88,15 @@ class TokenTotals:
         Of a document's changes in one batch the one of largest seq counts; among equals
         a delete, then the largest by version, source, lang and tokens. Null doc_ids
         are left out, null tokens count 0, null source or lang are groups like others.
-        Batches come in rising order.
+        Batches come in rising order: a number below the last committed one that wasn't
+        committed itself is refused with a ValueError, as later batches have already
+        been counted without it.
         """
         if self.is_committed(batch):
             return False
+        last = self._commits().agg(F.max("batch")).first()[0]
+        if last is not None and batch < last:
+            raise ValueError(f"batch {batch} comes after batch {last}")
         value = F.struct("version", "source", "lang", F.coalesce("tokens", F.lit(0)).cast("long").alias("tokens"))
         order = F.struct(F.coalesce("seq", F.lit(-1)).alias("seq"), (F.col("op") == "delete").alias("gone"), value.alias("value"))
         last = changes.filter("doc_id is not null").groupBy("doc_id").agg(F.max(order).alias("x")).select(

@@ -5,7 +5,8 @@ strings and one of ordinary words, are trained from labelled samples. A run of
 identifier characters is a secret when the random chain explains it so much better
 that it outweighs how rare secrets are. In a corpus without other labels, the
 values that the patterns find are the samples of random strings and all text
-outside them is ordinary; both are counted over all documents.
+outside them is ordinary, but for the candidates that are to be judged; both are
+counted over all documents.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from larder.plans.lineage import pin
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
+_LETTER = re.compile("[A-Za-z]")
 _KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "markov")
 
@@ -78,18 +80,34 @@ SCAN_SCHEMA = (
 )
 
 
-def _candidates(text: str, spans: list[tuple[int, int, int]], pattern: re.Pattern) -> list[dict]:
-    """Runs of identifier characters with a letter that no base span touches."""
-    out, at = [], 0
-    merged = sorted((a, b) for a, b, _ in spans)
+def _disjoint(spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """What sorted spans cover, as spans apart from each other."""
+    out: list[tuple[int, int]] = []
+    for a, b, _ in spans:
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _candidates(text: str, spans: list[tuple[int, int, int]], pattern: re.Pattern, least: int) -> list[dict]:
+    """Runs of identifier characters with a letter, cut where base spans lie; linear in runs and spans together."""
+    out, covered, at = [], _disjoint(spans), 0
     for m in pattern.finditer(text):
-        while at < len(merged) and merged[at][1] <= m.start():
+        begin, end = m.span()
+        while at < len(covered) and covered[at][1] <= begin:
             at += 1
-        if any(a < m.end() and b > m.start() for a, b in merged[at:]):
-            continue
-        if not re.search("[A-Za-z]", m.group()):
-            continue
-        out.append({"start": m.start(), "stop": m.end(), "token": m.group()})
+        while begin < end:
+            # the next free piece; a span that goes on beyond the run stays the next one
+            stop = min(end, covered[at][0]) if at < len(covered) else end
+            if stop - begin >= least and _LETTER.search(text, begin, stop):
+                out.append({"start": begin, "stop": stop, "token": text[begin:stop]})
+            if at == len(covered) or covered[at][0] >= end:
+                break
+            begin = max(begin, covered[at][1])
+            if covered[at][1] <= end:
+                at += 1
     return out
 
 
@@ -100,12 +118,13 @@ def _scan(rules: MarkovRules, batch: pa.RecordBatch) -> pa.RecordBatch:
     for t in texts:
         spans = base_spans(t)
         base.append([{"start": a, "stop": b, "kind": k} for a, b, k in spans])
-        maybe.append(_candidates(t, spans, pattern))
+        maybe.append(_candidates(t, spans, pattern, rules.least_chars))
         random += _values(t, spans)
     found = pair_counts(" ".join(random).encode())
+    open_ = pair_counts(" ".join(c["token"] for some in maybe for c in some).encode())
     every = pair_counts(" ".join(texts).encode())
-    # the first row of a slice carries the slice's counts: of random strings, and of all else
-    counts = [np.stack([found, np.maximum(every - found, 0)]).astype("<i8").tobytes()] + [None] * (len(texts) - 1)
+    # the first row of a slice carries the slice's counts: of random strings, and of what is neither that nor a candidate
+    counts = [np.stack([found, np.maximum(every - found - open_, 0)]).astype("<i8").tobytes()] + [None] * (len(texts) - 1)
     return pa.RecordBatch.from_pydict({
         "doc_id": batch.column("doc_id"),
         "base": pa.array(base, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("kind", pa.int32())]))),
@@ -199,9 +218,11 @@ def _judge(gain: np.ndarray, rules: MarkovRules, batches: Iterator[pa.RecordBatc
 def secret_spans(docs: DataFrame, rules: MarkovRules = MarkovRules(), samples: DataFrame | None = None) -> DataFrame:
     """(doc_id, spans) per row of ``docs``: start and stop in code points, and the place of the kind in ``KINDS``.
 
-    The chains are trained from ``samples`` if given, else from the patterns' findings in all
-    documents. Null and empty texts have no spans; base spans stay as they are, and spans
-    of the chains never touch them.
+    The chains are trained from ``samples`` if given, else from the patterns' findings and
+    the ordinary text of all documents. Null and empty texts have no spans; base spans stay as they are, and spans
+    of the chains never overlap them: a run is cut at base spans, and each piece that is
+    long enough is judged by itself. Runs of any length are judged whole, in time linear
+    in the text. Other columns aren't looked at.
     """
     scanned = pin(scan(docs, rules))
     gain = gains(corpus_counts(scanned) if samples is None else sample_counts(samples), rules)

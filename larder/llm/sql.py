@@ -6,7 +6,7 @@ _WORD_COUNT = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
 MIX = rf"""
 WITH sized AS (
   SELECT doc_id, source, {_WORD_COUNT}::BIGINT AS size,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT AS draw
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 12))::BIGINT AS draw
   FROM documents
 ), totals AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source

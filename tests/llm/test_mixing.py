@@ -85,3 +85,38 @@ def test_mixed_rows_are_the_reported_copies(make_docs):
     copies = {r.doc_id: r.copies for r in mix.copies(mix.sized).collect() if r.copies}
     seen = {r.doc_id: r["count"] for r in mixed_corpus(docs).groupBy("doc_id").count().collect()}
     assert seen == copies
+
+
+def taken_by_source(mix):
+    rows = mix.copies(mix.sized).groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"), F.first("target").alias("target")).collect()
+    return {r.source: (r.taken, r.target) for r in rows}
+
+
+@pytest.mark.parametrize("shared", [None, 5])
+@pytest.mark.parametrize("same_text", [True, False])
+def test_missing_and_repeated_ids_meet_the_target(make_docs, shared, same_text):
+    """900 rows without an id, or all of one id, in one source; with equal texts they are ties."""
+    rows = [(shared, "w w w" if same_text else f"w w {k}", "a") for k in range(900)] + [(1000 + k, f"w {k} w", "b") for k in range(300)]
+    docs = make_docs(rows).repartition(7)
+    mix = mix_documents(docs)
+    for taken, target in taken_by_source(mix).values():
+        assert abs(taken - target) <= 3
+    copies = {(r.source, r.copies): r["count"] for r in mix.copies(mix.sized).groupBy("source", "copies").count().collect()}
+    assert sum(n * c for (source, n), c in copies.items() if source == "a") * 3 == taken_by_source(mix)["a"][0]
+    seen = {r.source: r["count"] for r in mixed_corpus(docs).groupBy("source").count().collect()}
+    assert {s: n * 3 for s, n in seen.items()} == {s: t for s, (t, _) in taken_by_source(mix).items()}
+
+
+def test_sql_agrees_on_repeated_rows(spark, make_docs, tmp_path):
+    import duckdb
+
+    from larder.llm.sql import MIX
+
+    rows = [(None if k % 3 else 7, "w " * (1 + k % 4), "abc"[k % 5 % 3]) for k in range(400)] + [(k, "x y z", None) for k in range(50)]
+    path = str(tmp_path / "documents")
+    make_docs(rows).repartition(4).write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{path}/*.parquet')")
+    mix = mix_documents(spark.read.parquet(path))
+    ours = mix.copies(mix.sized).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+    assert sorted(map(tuple, ours.collect()), key=repr) == sorted(map(tuple, con.execute(MIX).fetchall()), key=repr)

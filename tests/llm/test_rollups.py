@@ -1,6 +1,7 @@
 import base64
 
 import public_tokenizers
+import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -79,3 +80,29 @@ def test_counts_are_the_tokenizers(make_docs):
     docs = make_docs(list(enumerate(texts))).withColumn("tokens", F.lit("own"))
     got = {r.doc_id: r.tokens for r in token_counts(docs, open(path, "rb").read(), public_tokenizers.PATTERN).collect()}
     assert got == {i: len(plain.encode_ordinary(t or "")) for i, t in enumerate(texts)}
+
+
+def test_late_batches_are_refused(spark, tmp_path):
+    tables = TokenTotals(spark, str(tmp_path / "totals"))
+    tables.commit(2, spark.createDataFrame([(1, 0, "insert", "a", "en", "v", 10)], CHANGES))
+    with pytest.raises(ValueError):
+        tables.commit(1, spark.createDataFrame([(1, 0, "insert", "a", "en", "v", 7)], CHANGES))
+    assert not tables.commit(2, spark.createDataFrame([], CHANGES))
+    assert read(tables) == {("a", "en", "v"): (1, 10)}
+
+
+def test_query_equals_brute_force(spark):
+    from larder.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    path = tokenizer_path("byte_bpe_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    bad = {r.doc_id for r in spark.read.parquet(f"{folder}/labels.parquet").collect() if r.quality == 0}
+    expected = {}
+    for r in spark.read.parquet(f"{folder}/documents.parquet").collect():
+        if r.doc_id not in bad:
+            docs, tokens = expected.get((r.source, r.lang, "byte_bpe_50k"), (0, 0))
+            expected[r.source, r.lang, "byte_bpe_50k"] = docs + 1, tokens + len(plain.encode_ordinary(r.text or ""))
+    got = {(r.source, r.lang, r.version): (r.docs, r.tokens) for r in QUERIES["op8_token_rollups"](spark, folder).collect()}
+    assert got == expected
