@@ -6,8 +6,6 @@ Parquet and read again as the next one's documents.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larder.llm.common import table, tokenizer_path
@@ -16,7 +14,7 @@ from larder.llm.exact_mph import drop_exact
 from larder.llm.mixing import mixed_corpus
 from larder.llm.near_dedup import drop_near
 from larder.llm.sentencepieces import PieceModel, encoded
-from larder.plans.lineage import checkpoint_dir
+from larder.plans.lineage import scratch
 
 TOKENIZER = "piece_bpe_32k.model"
 
@@ -61,7 +59,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what lies between them goes to the shared folder."""
     docs = table(spark, sf_dir, "documents")
-    base = f"{checkpoint_dir(spark)}/corpus-{uuid.uuid4().hex}"
+    base = scratch(spark, "corpus")
     for k, (_, stage) in enumerate(STAGES):
         made = stage(spark, docs, sf_dir)
         if k == len(STAGES) - 1:
