@@ -16,7 +16,7 @@ from larder.functions.numbers import half_even
 from larder.functions.text import product_category, title_case
 from larder.operators import baselines, evaluation, features as feats, folds, forecast, models, quality
 from larder.operators.calendar import build_calendar
-from larder.operators.cleaning import clean_transactions, rejected_lines
+from larder.operators.cleaning import canonical_names, clean_transactions, rejected_lines
 from larder.operators.daily import build_sales_daily, daily_sales, flag_promotions
 from larder.operators.ordered import bucket_counts, last_rows
 from larder.operators.products import most_common
@@ -192,19 +192,20 @@ def _(shop):
     return most_common(sold, "stock_code", "p_name", "description")
 
 
-@query("missing_report", {2: "null_pct"}, "roll", """
-    SELECT 'stock_code' AS column_name, count(*) FILTER (stock_code IS NULL) AS null_count,
-           count(*) FILTER (stock_code IS NULL) / count(*) * 100 AS null_pct, 'string' AS dtype FROM roll
-    UNION ALL SELECT 'quantity_lag28', count(*) FILTER (n <= 28),
-           count(*) FILTER (n <= 28) / count(*) * 100, 'double' FROM roll
-    UNION ALL SELECT 'quantity_roll_mean_56', count(*) FILTER (n <= 28),
-           count(*) FILTER (n <= 28) / count(*) * 100, 'double' FROM roll
-    UNION ALL SELECT 'is_promotion', count(*) FILTER (is_promotion IS NULL),
-           count(*) FILTER (is_promotion IS NULL) / count(*) * 100, 'int' FROM roll""")
+_LONGS, _INTS = ("num_orders", "num_customers", "promotion_roll7"), ("is_promotion", "promotion_lag1")
+_HISTORY_TYPES = ", ".join(
+    f"('{c}', '{'bigint' if c in _LONGS else 'int' if c in _INTS else 'double'}')" for c in HISTORY_NUMBERS)
+
+
+@query("missing_report", {2: "null_pct"}, "melted", f"""
+    SELECT feature AS column_name, count(*) FILTER (value IS NULL) AS null_count,
+           count(*) FILTER (value IS NULL) / count(*) * 100 AS null_pct, any_value(dtype) AS dtype
+    FROM melted JOIN (VALUES {_HISTORY_TYPES}) t(name, dtype) ON name = feature GROUP BY feature
+    UNION ALL SELECT 'stock_code', count(*) FILTER (stock_code IS NULL), count(*) FILTER (stock_code IS NULL) / count(*) * 100, 'string' FROM wide
+    UNION ALL SELECT 'date', count(*) FILTER (date IS NULL), count(*) FILTER (date IS NULL) / count(*) * 100, 'date' FROM wide""")
 def _(shop):
-    return quality.missing_report(
-        shop.history.select("stock_code", "quantity_lag28", "quantity_roll_mean_56", "is_promotion")
-    )
+    """Of all columns of the feature history."""
+    return quality.missing_report(shop.history)
 
 
 # Daily sales, products and calendar ---------------------------------------------
@@ -407,7 +408,7 @@ def _(shop):
         for w in widths for stat, a in (('mean', 'm'), ('median', 'md'), ('std', 's')))}
     FROM roll""")
 def _(shop):
-    return shop.history.select("stock_code", "date", *feats.rolling_columns())
+    return shop.history.select("stock_code", "date", *feats.half_full_only())
 
 
 @query("ewma_features", {6: "qty_ewma_28 qty_ewma_7_to_28"}, "sales", """
@@ -871,17 +872,20 @@ def _(shop):
     return impact_waterfall(shop.impact)
 
 
-@query("records_json", None, "risk", """
-    SELECT '{"stock_code":"' || stock_code || '","risk_level":"' || risk_level || '","abc_class":"' || abc_class
-           || '","lead_time_days":' || lead_time_days::VARCHAR || ',"as_of":"'
-           || strftime((SELECT max(date) FROM sales), '%Y-%m-%dT00:00:00') || '","missing":null}' AS record
-    FROM risk""")
+_PRODUCT_MONEY = ("avg_unit_price", "min_price", "max_price", "total_revenue", "total_quantity")
+
+
+@query("records_json", None, "products", f"""
+    SELECT to_json({{'stock_code': stock_code, 'description': description, {', '.join(f"'{c}': {c}::DECIMAL(18, 2)" for c in _PRODUCT_MONEY)},
+                    'first_sale_date': strftime(first_sale_date, '%Y-%m-%dT%H:%M:%S'), 'last_sale_date': strftime(last_sale_date, '%Y-%m-%dT%H:%M:%S'),
+                    'category': category, 'lead_time_days': lead_time_days, 'moq': moq, 'abc_class': abc_class,
+                    'days_since_launch': days_since_launch, 'supplier': supplier, 'warehouse': warehouse,
+                    'shelf_life_days': shelf_life_days, 'missing': NULL}})::VARCHAR AS record
+    FROM products""")
 def _(shop):
-    rows = shop.risk.select(
-        "stock_code", "risk_level", "abc_class", "lead_time_days",
-        shop.span.select("last_date").scalar().alias("as_of"), F.lit(float("nan")).alias("missing"),
-    )
-    return as_records(rows)
+    """All columns of the product master."""
+    exact = {c: F.col(c).cast("decimal(18,2)") for c in _PRODUCT_MONEY}
+    return as_records(shop.products.withColumns(exact | {"missing": F.lit(float("nan"))}))
 
 
 # Forecasting -----------------------------------------------------------------------
@@ -1083,15 +1087,17 @@ def _(shop):
     )
 
 
-@query("request_grid", None, "sales days", """
-    SELECT code AS stock_code, d::DATE AS date, month(d) AS month, isodow(d) - 1 AS day_of_week, day(d) AS day_of_month,
-           0.0::DOUBLE AS quantity
-    FROM (SELECT DISTINCT stock_code AS code FROM sales WHERE stock_code IN ('RED RING', 'OLD ROD', 'NO SUCH CODE'))
-    CROSS JOIN (SELECT unnest(generate_series(DATE '2001-11-05', DATE '2001-12-04', INTERVAL 1 DAY)) AS d)""")
+@query("request_grid", None, "sales", """
+    SELECT stock_code, d::DATE AS date, month(d) AS month, isodow(d) - 1 AS day_of_week, day(d) AS day_of_month, 0.0::DOUBLE AS quantity
+    FROM (SELECT DISTINCT stock_code FROM sales)
+    CROSS JOIN (SELECT unnest(generate_series(last + 1, last + 28, INTERVAL 1 DAY)) AS d FROM (SELECT max(date) AS last FROM sales))""")
 def _(shop):
-    rows = forecast.request_rows(
-        shop.history, ["RED RING", "OLD ROD", "NO SUCH CODE"], dt.date(2001, 11, 5), dt.date(2001, 12, 4)
-    )
+    """All products for the four weeks after the last sale, asked for with repeats and a code that there isn't."""
+    codes = [row["stock_code"] for row in shop.products.select("stock_code").collect()]  # a request is a list of codes
+    last = shop.span.first()["last_date"]
+    first, end = last + dt.timedelta(days=1), last + dt.timedelta(days=28)
+    asked = forecast.check_request([*codes, "NO SUCH CODE", codes[0]], first, end)
+    rows = forecast.request_rows(shop.history, asked, first, end)
     return rows.select("stock_code", "date", "month", "day_of_week", "day_of_month", "quantity")
 
 
@@ -1110,4 +1116,32 @@ def _(shop):
     return forecast.trend_seasonal(shop.sales)
 
 
+_GROUP_MARKS = " UNION ALL ".join(
+    f"SELECT '{group}' AS feature_group, '{mark}' AS mark" for group, marks in feats.FEATURE_GROUPS.items() for mark in marks)
+
+
+@query("feature_group_strength", {6: "mean_strength max_strength"}, "pairs", f"""
+    SELECT feature_group, count(*) AS features, avg(abs(correlation)) AS mean_strength, max(abs(correlation)) AS max_strength
+    FROM (SELECT DISTINCT feature_group, y, correlation FROM pairs JOIN ({_GROUP_MARKS}) ON contains(y, mark)
+          WHERE x = 'quantity' AND y <> 'quantity' AND correlation IS NOT NULL) GROUP BY feature_group""")
+def _(shop):
+    """How strongly the features of each group go with the quantity."""
+    groups = feats.feature_groups(list(HISTORY_NUMBERS))
+    strength = quality.target_correlation(shop.history, "quantity", list(HISTORY_NUMBERS))
+    return quality.group_strength(strength, groups)
+
+
+@query("odd_headers_tx", None, "", f"""
+    SELECT day AS date, count(*) AS line_count, sum(quantity)::DOUBLE AS quantity, sum(quantity * unit_price)::DOUBLE AS revenue
+    FROM (SELECT DISTINCT invoice_no, upper(trim(stock_code)) AS stock_code, lower(trim(description)) AS description, quantity, unit_price, day
+          FROM ({_TEXT_LINES}) WHERE NOT ({' OR '.join(_BROKEN)})) GROUP BY day""")
+def _(shop):
+    """Clean lines by day from a file whose headers have other spellings, case and blanks."""
+    odd = {"invoice_no": " Invoice ", "stock_code": "SKU", "description": "Product Name", "quantity": "QTY", "invoice_date": " Date", "unit_price": "Unit Price"}
+    tx = clean_transactions(canonical_names(_text_lines(shop).withColumnsRenamed(odd)), CleaningRules(country=None))
+    return tx.groupBy("date").agg(
+        F.count(F.lit(1)).alias("line_count"), F.sum("quantity").alias("quantity"), F.sum("revenue").alias("revenue")
+    )
+
+
 from checks import demand  # noqa: E402, F401

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -84,19 +83,17 @@ def predict(df: DataFrame, model: PipelineModel) -> DataFrame:
 
 
 def _fit_all(train: DataFrame, rules: ForecastRules) -> dict[str, Model]:
-    """Fit the models on assembled rows side by side, so their many short jobs fill the cluster."""
+    """Fit the models on assembled rows side by side, so their many short jobs fill the cluster.
 
-    def fit(name: str) -> Model | None:
-        try:
-            return estimator(name, rules.seed).fit(train)
-        except Exception as error:  # noqa: BLE001 - reported, and the model is left out
-            warnings.warn(f"{name} left out: {error}", stacklevel=2)
-            return None
+    A fit that fails raises: a comparison that lacks a model would name a wrong best one.
+    """
+
+    def fit(name: str) -> Model:
+        return estimator(name, rules.seed).fit(train)
 
     with ThreadPoolExecutor(max_workers=max(1, len(rules.models))) as pool:
         run = inheritable_thread_target(train.sparkSession)(fit)
-        fitted = dict(zip(rules.models, pool.map(run, rules.models)))
-    return {name: model for name, model in fitted.items() if model is not None}
+        return dict(zip(rules.models, pool.map(run, rules.models)))
 
 
 def cross_validate(
@@ -108,7 +105,7 @@ def cross_validate(
     Spark job over the whole fold. Inputs are assembled once and a fold's
     predictions are written once. Only the fold dates (one row per fold) are
     brought to the driver, and become plain date filters. A model that fails
-    is left out.
+    fails the comparison; leave it out of ``rules.models`` to go on without it.
     """
     needed = list(dict.fromkeys([*_KEYS, *feature_names(rules)]))
     names = feature_names(rules)

@@ -128,6 +128,19 @@ def top_correlated(df: DataFrame, target: str, columns: list[str], n: int) -> Da
     return target_correlation(df, target, columns).orderBy(strongest, "feature").limit(n)
 
 
+def group_strength(strength: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
+    """Per group of features, from ``target_correlation``: how many there are, and their mean and greatest correlation without sign.
+
+    A feature may be in several groups; a group without features has no row.
+    """
+    members = [(group, name) for group, names in groups.items() for name in names]
+    of = strength.sparkSession.createDataFrame(members, "feature_group string, feature string")
+    return strength.join(F.broadcast(of), "feature").groupBy("feature_group").agg(
+        F.count("*").alias("features"), F.avg(F.abs("correlation")).alias("mean_strength"),
+        F.max(F.abs("correlation")).alias("max_strength"),
+    )
+
+
 def strongest_matrix(df: DataFrame, target: str, columns: list[str], n: int) -> DataFrame:
     """The correlation matrix of the target and the ``n`` columns most correlated with it.
 

@@ -138,20 +138,21 @@ def write_table(
 MONTH = "yyyy-MM"
 
 
-def write_features(features: DataFrame, path: str, files_per_month: int = 8) -> None:
-    """Features by month, ``files_per_month`` files at most in each.
+def write_features(features: DataFrame, path: str, files_per_month: int | None = None) -> None:
+    """Features by month, in files of about the session's advisory partition size.
 
-    ``recent_history`` then only reads the folders it needs. Products are dealt
-    over a month's files and sorted inside them.
+    ``recent_history`` then only reads the folders it needs. Adaptive execution splits a
+    large month and joins small ones to one task, so there are as many tasks as the data
+    need; ``files_per_month`` deals products over that many files instead. Rows are
+    sorted by product and day inside a file.
     """
-    part = F.pmod(F.xxhash64("stock_code"), F.lit(files_per_month))
-    dealt = (
-        features.withColumns({"sale_month": F.date_format("date", MONTH), "_part": part})
-        .repartition("sale_month", "_part")
-        .sortWithinPartitions("sale_month", "stock_code", "date")
-        .drop("_part")
-    )
-    write_table(dealt, path, partition_by=["sale_month"])
+    monthly = features.withColumn("sale_month", F.date_format("date", MONTH))
+    if files_per_month is None:
+        dealt = monthly.hint("rebalance", F.col("sale_month"))
+    else:
+        part = F.pmod(F.xxhash64("stock_code"), F.lit(files_per_month))
+        dealt = monthly.withColumn("_part", part).repartition("sale_month", "_part").drop("_part")
+    write_table(dealt.sortWithinPartitions("sale_month", "stock_code", "date"), path, partition_by=["sale_month"])
 
 
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
