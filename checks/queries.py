@@ -22,7 +22,7 @@ from larder.operators.ordered import bucket_counts, last_rows
 from larder.operators.products import most_common
 from larder.operators.risk import add_forecast_revenue, impact_waterfall, risk_inputs, score_products
 from larder.operators.stock import reorder_list, reorder_policy
-from larder.plans import lookups, reports
+from larder.plans import exports, lookups, reports
 from larder.config import CleaningRules, RiskRules
 from larder.sources import tpch
 from larder.sources.tables import as_records
@@ -800,6 +800,27 @@ def _(shop):
     )
 
 
+@query("risk_sheet", None, "risk", """
+    SELECT stock_code, description, category, abc_class, risk_level, risk_score, coverage_days, revenue_at_risk, capital_locked,
+           priority_score, recommendation FROM risk WHERE category = 'services' AND coverage_days BETWEEN 0 AND 30""")
+def _(shop):
+    """As the filtered export holds it."""
+    return exports.risk_sheet(shop.risk, category="services", coverage=(0.0, 30.0))
+
+
+@query("action_sheet", None, "risk", """
+    SELECT priority_score, stock_code, description, category, abc_class, risk_level, coverage_days, revenue_at_risk, recommendation
+    FROM risk ORDER BY priority_score DESC, stock_code LIMIT 50""")
+def _(shop):
+    return exports.action_sheet(shop.risk)
+
+
+@query("forecast_sheet", None, "forecast", """
+    SELECT stock_code, date::VARCHAR AS date, round(forecast_quantity, 1) AS "Forecast Units" FROM forecast""")
+def _(shop):
+    return exports.forecast_sheet(_naive_forecast(shop))
+
+
 @query("top_recommendations", {4: "avg_daily_demand"}, "risk", """
     SELECT row_number() OVER (ORDER BY priority_score DESC, stock_code) AS rank, stock_code, description,
            abc_class, risk_level, risk_score, priority_score, recommendation, revenue_at_risk,

@@ -151,7 +151,39 @@ class RiskRules:
     reducible_share: float = 0.70
     recovery_share: float = 0.85
     forecast_days: int = 28
-    default_lead_days: int = 7
+    default_lead_days: int = StockPolicy.default_lead_days
+    default_price: float = StockPolicy.default_price
+    default_momentum: float = 1.0
+    default_class: str = "C"
+    # Stockout score: where each band of cover starts, and what it loses over the band.
+    empty_score: float = 100.0
+    lead_score: float = 90.0
+    lead_drop: float = 40.0
+    critical_score: float = 70.0
+    critical_drop: float = 30.0
+    high_score: float = 40.0
+    high_drop: float = 20.0
+    watch_score: float = 20.0
+    watch_drop: float = 15.0
+    covered_score: float = 5.0
+    cv_points: float = 10.0
+    cv_most: float = 20.0
+    # Overstock score: where each band starts, and what it gains over the band.
+    dead_score: float = 90.0
+    over_score: float = 60.0
+    over_rise: float = 30.0
+    balanced_score: float = 30.0
+    balanced_rise: float = 30.0
+    covered_rise: float = 15.0
+    # Least scores of the levels.
+    critical_level: float = 75.0
+    high_level: float = 50.0
+    moderate_level: float = 30.0
+    overstock_level: float = 70.0
+    mild_overstock_level: float = 40.0
+    # What the actions look at.
+    rising_momentum: float = 1.2
+    bundle_days: float = 180.0
     abc_weights: dict[str, float] = field(
         default_factory=lambda: {"A": 3.0, "B": 2.0, "C": 1.0}
     )

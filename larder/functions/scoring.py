@@ -17,27 +17,27 @@ def _within(score: Column) -> Column:
 
 
 def stockout_score(cover: Column, lead: Column, cv: Column, rules: RiskRules) -> Column:
-    """0-100, higher the fewer days the stock lasts; erratic demand adds up to 20."""
+    """0-100, higher the fewer days the stock lasts; erratic demand adds to it."""
     critical, high = rules.critical_days, rules.high_days
     base = (
-        F.when(cover <= 0, 100.0)
-        .when(cover < lead, 90 - (cover / lead) * 40)
-        .when(cover < critical, 70 - (cover / critical) * 30)
-        .when(cover < high, 40 - ((cover - critical) / (high - critical)) * 20)
-        .when(cover < rules.watch_days, 20 - (cover / rules.watch_days) * 15)
-        .otherwise(5.0)
+        F.when(cover <= 0, rules.empty_score)
+        .when(cover < lead, rules.lead_score - (cover / lead) * rules.lead_drop)
+        .when(cover < critical, rules.critical_score - (cover / critical) * rules.critical_drop)
+        .when(cover < high, rules.high_score - ((cover - critical) / (high - critical)) * rules.high_drop)
+        .when(cover < rules.watch_days, rules.watch_score - (cover / rules.watch_days) * rules.watch_drop)
+        .otherwise(rules.covered_score)
     )
-    return _within(base + F.least(cv * 10, F.lit(20.0)))
+    return _within(base + F.least(cv * rules.cv_points, F.lit(rules.cv_most)))
 
 
 def overstock_score(cover: Column, rules: RiskRules) -> Column:
     """0-100, higher the longer the stock lasts."""
     balanced, over, dead = rules.balanced_days, rules.overstock_days, rules.dead_days
     base = (
-        F.when(cover > dead, 90.0)
-        .when(cover > over, 60 + ((cover - over) / (dead - over)) * 30)
-        .when(cover > balanced, 30 + ((cover - balanced) / (over - balanced)) * 30)
-        .otherwise((cover / balanced) * 15)
+        F.when(cover > dead, rules.dead_score)
+        .when(cover > over, rules.over_score + ((cover - over) / (dead - over)) * rules.over_rise)
+        .when(cover > balanced, rules.balanced_score + ((cover - balanced) / (over - balanced)) * rules.balanced_rise)
+        .otherwise((cover / balanced) * rules.covered_rise)
     )
     return _within(base)
 
@@ -45,24 +45,24 @@ def overstock_score(cover: Column, rules: RiskRules) -> Column:
 def risk_level(stockout: Column, overstock: Column, cv: Column, rules: RiskRules) -> Column:
     """Stockout is tested first, then overstock, then volatility."""
     return (
-        F.when(stockout >= 75, CRITICAL)
-        .when(stockout >= 50, HIGH)
-        .when(stockout >= 30, MODERATE)
-        .when(overstock >= 70, OVERSTOCK)
-        .when(overstock >= 40, MILD_OVERSTOCK)
+        F.when(stockout >= rules.critical_level, CRITICAL)
+        .when(stockout >= rules.high_level, HIGH)
+        .when(stockout >= rules.moderate_level, MODERATE)
+        .when(overstock >= rules.overstock_level, OVERSTOCK)
+        .when(overstock >= rules.mild_overstock_level, MILD_OVERSTOCK)
         .when(cv > rules.volatile_cv, VOLATILE)
         .otherwise(HEALTHY)
     )
 
 
-def recommended_action(level: Column, cover: Column, momentum: Column, abc: Column) -> Column:
-    rising = momentum > 1.2
+def recommended_action(level: Column, cover: Column, momentum: Column, abc: Column, rules: RiskRules = RiskRules()) -> Column:
+    rising = momentum > rules.rising_momentum
     return (
         F.when(level == CRITICAL, ACTION_REORDER)
         .when((level == HIGH) | ((level == MODERATE) & rising), ACTION_INCREASE)
         .when((level == MODERATE) | (level == VOLATILE), ACTION_MONITOR)
         .when((level == OVERSTOCK) & (abc == "C"), ACTION_CLEARANCE)
-        .when((level == OVERSTOCK) & (cover > 180), ACTION_BUNDLE)
+        .when((level == OVERSTOCK) & (cover > rules.bundle_days), ACTION_BUNDLE)
         .when(level == OVERSTOCK, ACTION_MARKDOWN)
         .when(level == MILD_OVERSTOCK, ACTION_REDUCE)
         .otherwise(ACTION_NONE)

@@ -56,9 +56,9 @@ def risk_inputs(
         joined = joined.withColumn("avg_unit_price", F.col("_list_price"))
     return joined.drop("_list_price").fillna(
         {
-            "avg_unit_price": 1.0, "avg_daily_demand": 0.0, "std_daily_demand": 0.0,
+            "avg_unit_price": rules.default_price, "avg_daily_demand": 0.0, "std_daily_demand": 0.0,
             "coverage_days": 0.0, "closing_inventory": 0.0, "lead_time_days": rules.default_lead_days,
-            "demand_momentum": 1.0, "abc_class": "C",
+            "demand_momentum": rules.default_momentum, "abc_class": rules.default_class,
         }
     )
 
@@ -97,7 +97,7 @@ def score_products(inputs: DataFrame, rules: RiskRules = RiskRules()) -> DataFra
         .withColumns(
             {
                 "recommendation": recommended_action(
-                    level, cover, F.col("demand_momentum"), F.col("abc_class")
+                    level, cover, F.col("demand_momentum"), F.col("abc_class"), rules
                 ),
                 "revenue_at_risk": half_even(
                     revenue_at_risk(level, cover, F.col("avg_daily_demand"), price, rules)
@@ -186,16 +186,25 @@ def business_impact(risk: DataFrame, rules: RiskRules = RiskRules()) -> DataFram
     )
 
 
+# --- Fixed values -----------------------------------------------------------
+# Steps of the waterfall: label, measure, and the total it shows.
+WATERFALL = (
+    ("Current Revenue at Risk", "absolute", "revenue_at_risk"),
+    ("Stockout Recovery", "relative", "potential_sales_increase"),
+    ("Overstock Savings", "relative", "overstock_cost_monthly"),
+    ("Working Capital", "relative", "working_capital_saved"),
+    ("Other", "relative", None),
+    ("Net Benefit", "total", "expected_profit_improvement"),
+)
+# ----------------------------------------------------------------------------
+
+
 def impact_waterfall(impact: DataFrame) -> DataFrame:
-    """The impact totals as ordered waterfall steps."""
-    steps = (
-        ("Current Revenue at Risk", "absolute", -F.col("revenue_at_risk")),
-        ("Stockout Recovery", "relative", F.col("potential_sales_increase")),
-        ("Overstock Savings", "relative", F.col("overstock_cost_monthly")),
-        ("Working Capital", "relative", F.col("working_capital_saved")),
-        ("Other", "relative", F.lit(0.0)),
-        ("Net Benefit", "total", F.col("expected_profit_improvement")),
-    )
+    """The impact totals as ordered waterfall steps; what is at risk counts against the rest."""
+    sign = {"revenue_at_risk": -1}
+    steps = [
+        (label, measure, F.lit(0.0) if name is None else F.col(name) * sign.get(name, 1)) for label, measure, name in WATERFALL
+    ]
     rows = [
         F.struct(
             F.lit(i).alias("step"), F.lit(label).alias("label"),

@@ -83,6 +83,42 @@ def test_models_beat_guessing_and_rank(history):
     assert ranking[0]["WAPE"] < 60
 
 
+def test_metrics_equal_sql_over_stored_predictions(history, tmp_path):
+    """Every model's metrics of a fold, computed again by another engine from its written predictions."""
+    import duckdb
+
+    rules = ForecastRules(features=RULES.features, horizon=9, folds=2, min_train_days=30, models=("RandomForest", "GradientBoosting"))
+    names = models.feature_names(rules)
+    table = models._assembler(names).transform(models.model_input(history, names))
+    fold_rows = folds.cv_folds(table, rules.folds, rules.horizon, rules.min_train_days).collect()
+    for fold in fold_rows:
+        predictions = models.fold_predictions(table, fold, rules)
+        path = str(tmp_path / f"fold{fold['fold']}")
+        predictions.write.parquet(path)
+        ours = evaluation.forecast_metrics(predictions.sparkSession.read.parquet(path), ["model", "fold"]).collect()
+        sql = duckdb.sql(f"""
+            SELECT model, fold, sum(abs(predicted - actual)) / sum(abs(actual)) * 100 AS WAPE,
+                   avg(abs((predicted - actual) / actual)) FILTER (actual > 1e-8) * 100 AS MAPE, avg(abs(predicted - actual)) AS MAE,
+                   sqrt(avg((predicted - actual) ** 2)) AS RMSE, avg(predicted - actual) AS Bias,
+                   median(abs((predicted - actual) / actual)) FILTER (actual > 1e-8) * 100 AS MdAPE
+            FROM '{path}/*.parquet' GROUP BY model, fold""")
+        theirs = {(r[0], r[1]): r[2:] for r in sql.fetchall()}
+        assert {(r.model, r.fold) for r in ours} == set(theirs) and len(theirs) == 3
+        for r in ours:
+            assert (r.WAPE, r.MAPE, r.MAE, r.RMSE, r.Bias, r.MdAPE) == pytest.approx(theirs[r.model, r.fold], abs=1e-4)
+    assert len(fold_rows) == 2
+
+
+def test_a_fit_that_fails_fails_the_comparison(history, monkeypatch):
+    class Broken:
+        def fit(self, train):
+            raise RuntimeError("lost")
+
+    monkeypatch.setattr(models, "estimator", lambda name, seed: Broken())
+    with pytest.raises(RuntimeError, match="lost"):
+        models.cross_validate(history, RULES)
+
+
 def test_model_round_trip_forecast_and_request(spark, history, tmp_path):
     fitted = models.fit_model(history, "RandomForest", RULES)
     models.save_model(spark, fitted, "RandomForest", str(tmp_path))

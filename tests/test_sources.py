@@ -12,6 +12,7 @@ from larder.operators.quality import missing_report, quality_overview, schema_re
 from larder.plans.full_run import Settings, full_run
 from larder.config import CleaningRules, ForecastRules
 from larder.plans.lineage import checkpoint_dir, pin, pins_released
+from larder.plans import exports
 from larder.sources import tables, tpch
 
 HEADER = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
@@ -55,6 +56,45 @@ def test_a_history_cut_reads_recent_months_only(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(sale_month" in plan and "sale_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_files_of_a_month_follow_its_size(spark, tmp_path):
+    """Small months are a file each; a month beyond the advisory size is several, each in order."""
+    days = spark.range(60_000).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("stock_code"),
+        F.date_add(F.lit("2010-01-01"), F.when(F.col("id") < 55_000, 5).otherwise(F.col("id") % 90).cast("int")).alias("date"),
+    )
+    count = lambda name, month: len(list((tmp_path / name / f"sale_month={month}").glob("*.parquet")))
+    tables.write_features(days, str(tmp_path / "small"))
+    assert [count("small", f"2010-0{m}") for m in (1, 2, 3)] == [1, 1, 1]
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "500KB")
+    try:
+        tables.write_features(days.repartition(8), str(tmp_path / "large"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert count("large", "2010-01") > 3 and count("large", "2010-03") == 1
+    stored = spark.read.parquet(str(tmp_path / "large")).drop("sale_month")
+    assert stored.count() == 60_000 and stored.exceptAll(days).isEmpty()
+    for file in (tmp_path / "large" / "sale_month=2010-01").glob("*.parquet"):
+        rows = [(r.stock_code, r.date) for r in spark.read.parquet(str(file)).collect()]
+        assert rows == sorted(rows)
+
+
+def test_sheets_are_exported_and_read_back(spark, tmp_path):
+    risk = spark.createDataFrame(
+        [(f"p{k}", 'odd "name", with comma', "home" if k % 2 else "toys", "A", "Healthy", 1.5, float(k), 10.0, float(k % 7), "do, it") for k in range(30)],
+        "stock_code string, description string, category string, abc_class string, risk_level string, risk_score double, "
+        "coverage_days double, avg_unit_price double, priority_score double, recommendation string")
+    forecast = spark.createDataFrame([("p1", dt.date(2020, 1, 1), 1.25), ("p2", dt.date(2020, 1, 2), 3.0)], "stock_code string, date date, forecast_quantity double")
+    paths = exports.export_sheets(risk, forecast, str(tmp_path), n=5, category="home", coverage=(3.0, 20.0))
+    read = {p.rsplit("/", 1)[1]: spark.read.option("header", True).option("escape", '"').csv(p).collect() for p in paths}
+    assert [r["Forecast Units"] for r in sorted(read["forecast"])] == ["1.3", "3.0"]
+    assert sorted(r.stock_code for r in read["risk_scores"]) == sorted(f"p{k}" for k in range(3, 21, 2))
+    assert read["risk_scores"][0].description == 'odd "name", with comma' and "avg_unit_price" not in read["risk_scores"][0].asDict()
+    best = sorted(range(30), key=lambda k: (-(k % 7), f"p{k}"))[:5]
+    assert [r.stock_code for r in read["priority_actions"]] == [f"p{k}" for k in best]
+    assert len(read["recommendations"]) == 15 and len(list((tmp_path / "priority_actions").glob("*.csv"))) == 1
+
+
 def test_stored_tables_have_their_declared_columns(spark):
     df = spark.createDataFrame([(1, "a", "extra")], "forecast_quantity int, stock_code string, more string")
     with pytest.raises(ValueError, match="lacks date"):
