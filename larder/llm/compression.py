@@ -4,11 +4,13 @@ Two zstandard dictionaries are built from labelled text. A document is cut into
 pieces; each is compressed with either dictionary, and the difference of the
 sizes, normalised by their sum, says which kind of text it resembles. Pieces keep
 the dictionaries in play: over a long text the compressor would learn the text
-itself and forget them. The mean difference and how far the piece compresses at
-all become a probability by logistic regression on labelled rows that neither
-dictionary has seen.
+itself and forget them. The mean difference, that of the text's worst tenth and how
+far it compresses at all become a probability by logistic regression on labelled
+rows that neither dictionary has seen. None of these grows or falls with the length.
 
-Labels come from a bounded sample (``CompressionRules``); scoring reads whole texts.
+Labels come from a bounded sample of rows (``CompressionRules``), of which whole texts
+are read: the calibration measures them with the scoring code in Spark tasks, and the
+dictionaries are trained on pieces drawn from all of their pieces.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
@@ -27,13 +30,14 @@ from larder.plans.lineage import pin
 
 @dataclass(frozen=True)
 class CompressionRules:
-    """``rows_per_class`` labelled rows at most are read for fitting, ``sample_chars`` of each.
+    """``rows_per_class`` labelled rows at most are read for fitting.
 
-    A sampled row gives its text at evenly spaced places, so ends count like beginnings.
+    Half of them calibrate. A dictionary is trained on ``pieces_per_class`` pieces at most
+    of the other half, drawn by hash from all pieces of their whole texts.
     """
 
     rows_per_class: int = 3000
-    sample_chars: int = 6000
+    pieces_per_class: int = 5000
     dictionary_bytes: int = 110_000
     piece_bytes: int = 2048
     level: int = 3
@@ -55,6 +59,15 @@ def held_out(id_name: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_name).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+#: The share of a text's pieces that counts as its worst.
+_WORST = 0.1
+
+
+def cut(raw: bytes, piece_bytes: int) -> list[bytes]:
+    """A text's bytes in pieces; the last one may be short."""
+    return [raw[at : at + piece_bytes] for at in range(0, len(raw), piece_bytes)]
+
+
 class _Scales:
     """Measures texts with both dictionaries; one per task."""
 
@@ -74,18 +87,17 @@ class _Scales:
         ))
 
     def features(self, text: str | None) -> tuple[float, ...]:
-        """Normalised difference of all pieces together, of the worst pieces, and the ratios of compression."""
+        """Normalised difference of all pieces together, of the worst tenth, and the ratios of compression."""
         raw = (text or "").encode()
         good = bad = plain = 0
         diffs = []
-        for at in range(0, len(raw), self.piece_bytes):
-            piece = raw[at : at + self.piece_bytes]
+        for piece in cut(raw, self.piece_bytes):
             g, b = (len(p.compress(piece)) for p in self.packers)
             good, bad, plain = good + g, bad + b, plain + len(self.plain.compress(piece))
             diffs.append((b - g) / (b + g))
         if not raw:
             return 0.0, 0.0, 0.0, 0.0
-        return (bad - good) / (bad + good), min(diffs), plain / len(raw), min(good, bad) / len(raw)
+        return (bad - good) / (bad + good), float(np.quantile(diffs, _WORST)), plain / len(raw), min(good, bad) / len(raw)
 
 
 N_FEATURES = 4
@@ -132,19 +144,50 @@ def labelled_sample(docs: DataFrame, marks: DataFrame, rules: CompressionRules =
     for quality in (0, 1):
         some = marks.filter(F.col("quality") == quality).orderBy("_draw", "doc_id").limit(rules.rows_per_class)
         rows = some if rows is None else rows.unionByName(some)
-    window, parts = rules.sample_chars // 3, 3
-    n = F.length("text")
-    starts = [F.lit(1), (n / 2 - window / 2).cast("int"), n - window + 1]
-    spread = F.concat(*[F.substring(F.col("text"), s, F.lit(window)) for s in starts])
-    text = F.when(n <= parts * window, F.col("text")).otherwise(spread)
     return docs.select("doc_id", "text").join(F.broadcast(pin(rows)), "doc_id").filter(F.length("text") > 0).select(
-        "quality", F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(2)).alias("half"), text.alias("text"), "doc_id"
+        "quality", F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(2)).alias("half"), "text", "doc_id"
     )
 
 
-def _dictionaries(good: list[str], bad: list[str], size: int) -> tuple[bytes, bytes]:
-    """A trained dictionary of each class, or, where either has too little text to train on, the texts themselves."""
-    samples = [[t.encode() for t in texts] for texts in (good, bad)]
+def _drawn_pieces(sample: DataFrame, quality: int, rules: CompressionRules) -> list[bytes]:
+    """At most ``pieces_per_class`` pieces of a class's whole texts, those of least hash, in that order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                pieces = [
+                    (xxhash.xxh64_intdigest(f"{doc}:{k}") >> 1, piece)
+                    for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist())
+                    for k, piece in enumerate(cut(text.encode(), rules.piece_bytes))
+                ]
+                yield pa.RecordBatch.from_pydict({
+                    "draw": pa.array([d for d, _ in pieces], pa.int64()), "piece": pa.array([p for _, p in pieces], pa.binary()),
+                })
+
+    texts = sample.filter((F.col("quality") == quality) & (F.col("half") == 0)).select("doc_id", "text")
+    best = texts.mapInArrow(run, "draw long, piece binary").orderBy("draw", "piece").limit(rules.pieces_per_class)
+    return [bytes(row["piece"]) for row in best.collect()]
+
+
+def _measured(sample: DataFrame, good: bytes, bad: bytes, rules: CompressionRules) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of the calibration's rows, measured on whole texts in Spark tasks."""
+    shared = sample.sparkSession.sparkContext.broadcast((good, bad, rules.piece_bytes, rules.level))
+    names = [f"f{k}" for k in range(N_FEATURES)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scales = _Scales(*shared.value)
+        for batch in batches:
+            for part in slices(batch):
+                x = np.array([scales.features(t) for t in part.column("text").to_pylist()], float).reshape(-1, N_FEATURES)
+                yield pa.RecordBatch.from_arrays([part.column("quality").cast(pa.int64()), *map(pa.array, x.T)], names=["quality", *names])
+
+    rows = sample.filter("half = 1").select("quality", "text").mapInArrow(run, "quality long, " + ", ".join(f"{n} double" for n in names))
+    found = sorted(map(tuple, rows.collect()))
+    return np.array([r[1:] for r in found], float).reshape(-1, N_FEATURES), np.array([r[0] for r in found], float)
+
+
+def _dictionaries(good: list[bytes], bad: list[bytes], size: int) -> tuple[bytes, bytes]:
+    """A trained dictionary of each class, or, where either has too little text to train on, the pieces themselves."""
+    samples = [good, bad]
     try:
         return tuple(
             zstandard.train_dictionary(max(1024, min(size, sum(map(len, x)) // 8)), x).as_bytes() for x in samples
@@ -157,13 +200,9 @@ def fit_compression(docs: DataFrame, labels: DataFrame, rules: CompressionRules
     """The model of a bounded sample; with one class or none every score is one half or near."""
     marks = pin(usable_labels(labels))
     good_share = marks.agg(F.avg("quality")).first()[0]
-    rows = labelled_sample(docs, marks, rules).toPandas().sort_values(["doc_id", "text"])
-    of = lambda quality: rows[(rows.quality == quality) & (rows.half == 0)].text.tolist()
-    good, bad = _dictionaries(of(1), of(0), rules.dictionary_bytes)
-    scales = _Scales(good, bad, rules.piece_bytes, rules.level)
-    rest = rows[rows.half == 1]
-    x = np.array([scales.features(t) for t in rest.text] or np.empty((0, N_FEATURES)), float).reshape(-1, N_FEATURES)
-    y = rest.quality.to_numpy().astype(float)
+    sample = pin(labelled_sample(docs, marks, rules))
+    good, bad = _dictionaries(*(_drawn_pieces(sample, quality, rules) for quality in (1, 0)), rules.dictionary_bytes)
+    x, y = _measured(sample, good, bad, rules)
     weights = _fit_logistic(_basis(x), y, good_share) if len(set(y)) == 2 else np.zeros(_basis(np.zeros((1, N_FEATURES))).shape[1])
     return CompressionModel(good, bad, tuple(map(float, weights)), rules.piece_bytes, rules.level)
 
@@ -174,7 +213,11 @@ def scores(model: CompressionModel, batch: pa.RecordBatch, scales: _Scales) -> n
 
 
 def with_score(docs: DataFrame, model: CompressionModel, name: str = "score") -> DataFrame:
-    """``docs`` with a score from 0 to 1 for each whole text; null and empty texts get the score of no text."""
+    """``docs`` with a score from 0 to 1 for each whole text; null and empty texts get the score of no text.
+
+    Repeated rows are scored each, equal texts alike. Other columns stay as they are;
+    ``name`` must be a new one.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = docs.withColumn(name, F.lit(0.0)).schema
 

@@ -1,7 +1,9 @@
+import math
 import random
 import zlib
 
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from larder.llm.compression import CompressionRules, fit_compression, held_out, keep_good, with_score
@@ -55,3 +57,56 @@ def test_without_labels_nothing_is_known(make_docs, corpus):
     docs, labels = corpus
     model = fit_compression(docs, labels.filter("false"))
     assert {r.score for r in with_score(docs, model).collect()} == {0.5}
+
+
+def plain_features(model, text):
+    """The same measures with compressors made anew for each piece, in plain Python."""
+    raw = (text or "").encode()
+    if not raw:
+        return [0.0] * 4
+    params = dict(format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False)
+
+    def size(piece, dictionary=None):
+        extra = {} if dictionary is None else {"dict_data": zstandard.ZstdCompressionDict(dictionary)}
+        return len(zstandard.ZstdCompressor(compression_params=zstandard.ZstdCompressionParameters.from_level(model.level, **params), **extra).compress(piece))
+
+    pieces = [raw[k:k + model.piece_bytes] for k in range(0, len(raw), model.piece_bytes)]
+    good, bad, plain = [size(p, model.good) for p in pieces], [size(p, model.bad) for p in pieces], [size(p) for p in pieces]
+    diffs = sorted((b - g) / (b + g) for g, b in zip(good, bad))
+    place = 0.1 * (len(diffs) - 1)
+    low = diffs[int(place)]
+    worst = low + (diffs[min(int(place) + 1, len(diffs) - 1)] - low) * (place - int(place))
+    g, b = sum(good), sum(bad)
+    return [(b - g) / (b + g), worst, sum(plain) / len(raw), min(g, b) / len(raw)]
+
+
+def test_scores_equal_brute_force(corpus, make_docs):
+    docs, labels = corpus
+    model = fit_compression(docs, labels)
+    rng = random.Random(5)
+    texts = [None, "", " ", "x", "é" * 5000, prose(rng, 3000), prose(rng, 30), "A | B ### C !! " * 900]
+    got = {r.doc_id: r.score for r in with_score(make_docs(list(enumerate(texts))), model).collect()}
+    for k, text in enumerate(texts):
+        f = plain_features(model, text)
+        terms = [1.0, *f, *[f[i] * f[j] for i in range(4) for j in range(i, 4)]]
+        total = max(-30.0, min(30.0, sum(w * t for w, t in zip(model.weights, terms))))
+        assert got[k] == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-9)
+
+
+def test_long_texts_keep_their_verdict(corpus, make_docs):
+    """Good texts, and bad ones, joined to up to half a megabyte are still that."""
+    docs, labels = corpus
+    model = fit_compression(docs, labels)
+    rng = random.Random(6)
+    rows = [(k, " ".join(prose(rng, 200) for _ in range(n))) for k, n in enumerate((1, 10, 100, 600))]
+    rows += [(10 + k, text.replace(" ", "### ").upper()) for k, text in rows]
+    assert len(rows[3][1]) > 400_000
+    scores = {r.doc_id: r.score for r in with_score(make_docs(rows), model).collect()}
+    assert all((scores[k] >= 0.5) == (k < 10) for k, _ in rows)
+
+
+def test_whole_texts_are_fitted(corpus, spark, make_docs):
+    """What lies late in a long labelled text changes the model as what lies early does."""
+    docs, labels = corpus
+    tail = F.when(F.col("doc_id") % 8 == 0, F.concat(F.repeat("text", 60), F.lit(" zebra zymurgy " * 2000))).otherwise(F.col("text"))
+    assert fit_compression(docs.withColumn("text", tail), labels) != fit_compression(docs, labels)
