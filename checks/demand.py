@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import query
-from larder.operators import customers, intervals, promotions, ranks, safety, weekly
+from larder.operators import customers, intervals, products, promotions, ranks, safety, weekly
+from larder.plans import reports
 from larder.plans.lineage import pin, scratch
 
 # Customers -------------------------------------------------------------------------
@@ -40,6 +41,25 @@ def _(shop):
     return customers.cohort_retention(customers.merged_sets(*halves))
 
 
+@query("abc_xyz", {4: "mean_cv"}, "sales products", """
+    SELECT abc_class, CASE WHEN cv < 0.5 THEN 'X' WHEN cv < 1.0 THEN 'Y' ELSE 'Z' END AS xyz_class, count(*) AS sku_count,
+           avg(cv) AS mean_cv, sum(q) AS quantity
+    FROM (SELECT stock_code, stddev_samp(quantity) / nullif(avg(quantity), 0) AS cv, sum(quantity) AS q
+          FROM (SELECT stock_code, date_trunc('month', date) AS month, sum(quantity) AS quantity FROM sales GROUP BY ALL) GROUP BY stock_code)
+    JOIN products USING (stock_code) GROUP BY ALL""")
+def _(shop):
+    """Products by revenue class and by how steady their monthly demand is."""
+    return products.abc_xyz(shop.sales, shop.products)
+
+
+@query("year_over_year", {2: "revenue revenue_before", 6: "growth_pct"}, "by_day", """
+    WITH months AS (SELECT date_trunc('month', date)::DATE AS month, sum(total_revenue) AS revenue FROM by_day GROUP BY 1)
+    SELECT m.month, m.revenue, y.revenue AS revenue_before, (m.revenue - y.revenue) / nullif(y.revenue, 0) * 100 AS growth_pct
+    FROM months m LEFT JOIN months y ON y.month = m.month - INTERVAL 12 MONTHS""")
+def _(shop):
+    return reports.year_over_year(shop.by_day)
+
+
 # Ranks within groups ---------------------------------------------------------------
 
 @query("price_percentile", {9: "price_percentile"}, "tx products", """

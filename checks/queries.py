@@ -10,7 +10,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from checks.registry import QUERIES, Query, query, run  # noqa: F401
-from checks.sql import HISTORY_NUMBERS
+from checks.sql import HISTORY_NUMBERS, rounded, with_parts
 from larder.config import ForecastRules
 from larder.functions.numbers import half_even
 from larder.functions.text import product_category, title_case
@@ -628,9 +628,47 @@ def _(shop):
 _feature_table_query()
 
 
-@query("full_feature_table")
-def _(shop):
-    return shop.features
+def _full_table_query() -> None:
+    """All columns of the feature table, joined in SQL from the history, the products, the stock and the calendar.
+
+    The short EWMA is shown against the long one, as in ``ewma_features``.
+    """
+    history = [c for c in HISTORY_NUMBERS if c != "qty_ewma_7"]
+    product = "category lead_time_days moq abc_class days_since_launch supplier warehouse shelf_life_days".split()
+    levels = "closing_inventory coverage_days reorder_triggered reorder_point eoq inventory_value avg_daily_demand".split()
+    dates = ("year month month_name quarter week_of_year day_of_week day_name day_of_month day_of_year is_weekend is_month_start is_month_end "
+             "is_quarter_end is_holiday season is_christmas_season is_black_friday is_cyber_monday days_to_christmas days_to_newyear").split()
+    fields = [f"coalesce(w.{c}, 0) AS {c}" for c in history] + [f"p.{c}" for c in product] + [f"s.{c}" for c in levels] + [f"c.{c}" for c in dates]
+    text = f"""
+    SELECT w.stock_code, w.date, {', '.join(fields)}, p.avg_unit_price AS sku_avg_price,
+           CASE WHEN qty_ewma_28 > 1e-9 THEN coalesce(qty_ewma_7, 0) / qty_ewma_28 END AS qty_ewma_7_to_28,
+           sin(2 * pi() * day_of_week / 7) AS sin_week, cos(2 * pi() * day_of_week / 7) AS cos_week,
+           sin(2 * pi() * day_of_year / 365) AS sin_year, cos(2 * pi() * day_of_year / 365) AS cos_year,
+           (days_since_launch <= 30)::INT AS is_new_product, (days_since_launch > 180)::INT AS is_mature_product,
+           coalesce(quantity_roll_mean_28 * 28 / greatest(closing_inventory, 1), 0) AS stock_turnover_28,
+           coverage_days / greatest(lead_time_days, 1) AS coverage_vs_lead,
+           closing_inventory - reorder_point AS inv_above_rop, least(coverage_days, 365) AS days_of_supply,
+           CASE abc_class WHEN 'A' THEN 3 WHEN 'B' THEN 2 ELSE 1 END AS abc_encoded, k.code AS category_encoded, day_of_week AS dow_encoded,
+           (season = 'autumn')::INT AS season_autumn, (season = 'spring')::INT AS season_spring,
+           (season = 'summer')::INT AS season_summer, (season = 'winter')::INT AS season_winter
+    FROM wide w JOIN products p ON p.stock_code = w.stock_code JOIN stock s ON s.stock_code = w.stock_code AND s.date = w.date
+    JOIN calendar c ON c.date = w.date
+    JOIN (SELECT category, row_number() OVER (ORDER BY category) - 1 AS code FROM (SELECT DISTINCT category FROM products)) k
+      ON k.category = p.category"""
+    places: dict[int, list[str]] = {}
+    for part in (*_FEATURE_PARTS, "ewma_features", "fourier_features"):
+        for n, names in QUERIES[part].places.items():
+            places.setdefault(n, []).extend(c for c in names.split() if c not in places.get(n, []))
+    joined = {n: " ".join(names) for n, names in places.items()}
+
+    def build(shop):
+        short, long = F.col("qty_ewma_7"), F.col("qty_ewma_28")
+        return shop.features.withColumn("qty_ewma_7_to_28", F.when(long > 1e-9, short / long)).drop("qty_ewma_7")
+
+    QUERIES["full_feature_table"] = Query(build, joined, with_parts("wide products stock calendar", rounded(text, joined)))
+
+
+_full_table_query()
 
 
 # Stock -----------------------------------------------------------------------------

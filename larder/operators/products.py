@@ -109,3 +109,23 @@ def build_product_master(
             "supplier", "warehouse", "shelf_life_days",
         )
     )
+
+
+def demand_steadiness(sales: DataFrame, x_below: float = 0.5, y_below: float = 1.0) -> DataFrame:
+    """Per product: the variation coefficient of its monthly demand, its class X, Y or Z by it, and its quantity.
+
+    A product without demand, or of one month, has no coefficient and is in Z.
+    """
+    monthly = sales.groupBy("stock_code", F.trunc("date", "month").alias("_month")).agg(F.sum("quantity").alias("quantity"))
+    cv = F.try_divide(F.stddev_samp("quantity"), F.avg("quantity"))
+    per_product = monthly.groupBy("stock_code").agg(cv.alias("demand_cv"), F.sum("quantity").alias("quantity"))
+    steady = F.when(F.col("demand_cv") < x_below, "X").when(F.col("demand_cv") < y_below, "Y").otherwise("Z")
+    return per_product.withColumn("xyz_class", steady)
+
+
+def abc_xyz(sales: DataFrame, products: DataFrame) -> DataFrame:
+    """The matrix of revenue class and steadiness: products, mean coefficient and quantity of each cell that has any."""
+    classed = demand_steadiness(sales).join(products.select("stock_code", "abc_class"), "stock_code")
+    return classed.groupBy("abc_class", "xyz_class").agg(
+        F.count("*").alias("sku_count"), F.avg("demand_cv").alias("mean_cv"), F.sum("quantity").alias("quantity")
+    )

@@ -307,3 +307,13 @@ def recommendation_groups(risk: DataFrame, n: int = 50) -> DataFrame:
 
 def risk_histogram(risk: DataFrame) -> DataFrame:
     return bucket_counts(risk, "risk_score", 0, 100, 30)
+
+
+def year_over_year(by_day: DataFrame) -> DataFrame:
+    """Revenue by calendar month beside that of the same month a year before; null where there was none."""
+    months = by_day.groupBy(F.trunc("date", "month").alias("month")).agg(F.sum("total_revenue").alias("revenue"))
+    before = months.select(F.add_months("month", 12).alias("_month"), F.col("revenue").alias("revenue_before"))
+    growth = F.try_divide(F.col("revenue") - F.col("revenue_before"), F.col("revenue_before")) * 100
+    return months.join(before, F.col("month") == F.col("_month"), "left").select(
+        "month", "revenue", "revenue_before", growth.alias("growth_pct")
+    )
