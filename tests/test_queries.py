@@ -13,7 +13,9 @@ CHECKED = (
     "clean_tx", "title_case", "category_rule", "daily_agg", "sku_master", "calendar", "abc_summary",
     "promo_impact", "ewma_features", "trend_slope", "stock_ledger", "risk_scores", "business_impact",
     "cv_folds", "forecast_metrics", "clean_text_tx", "rejected_lines", "description_mode", "top_skus", "request_grid",
-    "raw_missing_report",
+    "raw_missing_report", "correlation_chain", "feature_stats", "feature_group_strength", "schema_report", "records_json",
+    "missing_report", "full_feature_table", "cohort_retention", "rfm_scores", "price_percentile", "promotion_lift",
+    "year_ago_demand", "conformal_radius", "interval_coverage", "safety_stock", "risk_sheet", "abc_xyz", "odd_headers_tx",
 )
 
 
