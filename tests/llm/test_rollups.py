@@ -56,10 +56,10 @@ def test_a_batch_that_died_counts_once(spark, tmp_path, monkeypatch):
     tables.commit(1, spark.createDataFrame(BATCHES[0], CHANGES))
     write = TokenTotals._replace
 
-    def die_before_the_record(self, rows, folder, batch):
+    def die_before_the_record(self, rows, folder, batch, *by):
         if folder.endswith("commits"):
             raise RuntimeError("lost")
-        write(self, rows, folder, batch)
+        write(self, rows, folder, batch, *by)
 
     monkeypatch.setattr(TokenTotals, "_replace", die_before_the_record)
     try:
@@ -106,3 +106,47 @@ def test_query_equals_brute_force(spark):
             expected[r.source, r.lang, "byte_bpe_50k"] = docs + 1, tokens + len(plain.encode_ordinary(r.text or ""))
     got = {(r.source, r.lang, r.version): (r.docs, r.tokens) for r in QUERIES["op8_token_rollups"](spark, folder).collect()}
     assert got == expected
+
+
+def test_snapshots_change_no_total(spark, tmp_path):
+    tables = TokenTotals(spark, str(tmp_path / "totals"))
+    assert not tables.compact()
+    for n, rows in enumerate(BATCHES, 1):
+        tables.commit(n, spark.createDataFrame(rows, CHANGES))
+        assert tables.compact() and not tables.compact()
+        assert read(tables) == replay(BATCHES[:n])
+    late = [(3, 0, "delete", None, None, None, None), (7, 0, "revise", "s9", "en", "v3", 1)]
+    tables.commit(9, spark.createDataFrame(late, CHANGES))
+    assert read(tables) == replay([*BATCHES, late])
+
+
+def test_a_small_batch_reads_its_buckets_and_the_last_snapshot(spark, tmp_path):
+    tables = TokenTotals(spark, str(tmp_path / "totals"))
+    for n in range(1, 4):
+        tables.commit(n, spark.createDataFrame([(i, 0, "insert", "s", "en", f"v{n}", i) for i in range(400)], CHANGES))
+    some = tables._before(4, [5, 6])
+    scans = [part.split("]")[0] for part in some._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1:]]
+    assert any("bucket" in filters and "5,6" in filters for filters in scans)
+    assert {r.bucket for r in some.select("bucket").distinct().collect()} == {5, 6}
+    tables.compact()
+    after = tables._before(4, [5, 6])
+    assert some.count() == 3 * after.count() > 0  # a row a document, not one a batch
+    assert sorted(map(tuple, tables._newest(after).collect())) == sorted(map(tuple, tables._newest(some).collect()))
+
+
+def test_a_snapshot_that_died_is_not_read(spark, tmp_path, monkeypatch):
+    tables = TokenTotals(spark, str(tmp_path / "totals"))
+    tables.commit(1, spark.createDataFrame(BATCHES[0], CHANGES))
+    write = TokenTotals._replace
+
+    def die(self, rows, folder, batch, *by):
+        if folder.endswith("snapshots"):
+            raise RuntimeError("lost")
+        write(self, rows.limit(1), folder, batch, *by)
+
+    monkeypatch.setattr(TokenTotals, "_replace", die)
+    with pytest.raises(RuntimeError):
+        tables.compact()
+    monkeypatch.undo()
+    tables.commit(2, spark.createDataFrame(BATCHES[1], CHANGES))
+    assert read(tables) == replay(BATCHES[:2])
