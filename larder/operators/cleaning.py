@@ -61,12 +61,42 @@ def number_of(df: DataFrame, name: str) -> Column:
     return F.when(~F.isnan(number), number)
 
 
+_PATTERN = re.compile(r"'(?P<quoted>[^']*)'|(?P<run>(?P<letter>[A-Za-z])(?P=letter)*)|(?P<mark>.)", re.DOTALL)
+
+
+def format_shape(fmt: str) -> str | None:
+    """A regular expression that every text matches which the datetime pattern reads.
+
+    Only patterns of plain numbers and fixed text have one; None for all others.
+    """
+    if "''" in fmt or re.search(r"[\[\]{}#]", fmt):
+        return None
+    shape = ""
+    for part in _PATTERN.finditer(fmt):
+        run = part["run"]
+        if run is None:
+            shape += re.escape(part["quoted"] if part["mark"] is None else part["mark"])
+        elif run[0] in "ydHms" or run in ("M", "MM"):
+            shape += r"[+-]?\d+"
+        else:
+            return None
+    return f"(?iu)^{shape}$"
+
+
 def time_of(df: DataFrame, rules: CleaningRules, name: str = "invoice_date") -> Column:
-    """A column as a timestamp, by the first format that reads its text; null if none does."""
+    """A column as a timestamp, by the first format that reads its text; null if none does.
+
+    A format is only tried on text of its shape: a failed try raises inside, which
+    costs far more than a match.
+    """
     if isinstance(df.schema[name].dataType, (T.TimestampType, T.DateType)):
         return F.col(name).cast("timestamp")
     text = F.trim(F.col(name))
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)) for fmt in rules.timestamp_formats])
+    tries = []
+    for fmt in rules.timestamp_formats:
+        value, shape = F.try_to_timestamp(text, F.lit(fmt)), format_shape(fmt)
+        tries.append(value if shape is None else F.when(text.rlike(shape), value))
+    return F.coalesce(*tries)
 
 
 def _rejections(raw: DataFrame, rules: CleaningRules) -> dict[str, Column]:
@@ -92,19 +122,31 @@ def _rejections(raw: DataFrame, rules: CleaningRules) -> dict[str, Column]:
 def rejected_lines(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
     """Lines that cleaning leaves out, by the first rule that applies: ``reason, line_count``.
 
-    Repeated lines are not among them. One pass; combined on the map side.
+    Repeated lines are not among them. One pass; combined on the map side. All reasons
+    are counted in one row: a filter on the reason would work it out a second time.
     """
-    reason = F.coalesce(*[F.when(c, F.lit(name)) for name, c in _rejections(raw, rules).items()])
-    return (
-        raw.select(reason.alias("reason")).where(F.col("reason").isNotNull())
-        .groupBy("reason").agg(F.count(F.lit(1)).alias("line_count"))
-    )
+    names = _rejections(raw, rules)
+    reason = F.coalesce(*[F.when(c, F.lit(name)) for name, c in names.items()])
+    counts = raw.select(reason.alias("reason")).agg(*[F.count_if(F.col("reason") == name).alias(name) for name in names])
+    return counts.unpivot([], list(names), "reason", "line_count").where(F.col("line_count") > 0)
+
+
+def _read_once(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """``df`` with its columns replaced by ``values``, worked out once a row.
+
+    A later filter on a plain projection is moved below it and works the values out
+    again; it is not moved below a generator of one row.
+    """
+    made = {name: f"_read_{name}" for name in values}
+    row = F.struct(*[value.alias(name) for name, value in values.items()])
+    read = df.select("*", F.inline(F.array(row)).alias(*made.values()))
+    return read.withColumns({name: F.col(new) for name, new in made.items()}).drop(*made.values())
 
 
 def clean_transactions(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
     """Apply the cleaning rules and derive ``date`` and ``revenue``.
 
-    Everything up to the row dedupe is narrow, so filters reach the scan. Equal
+    Everything up to the row dedupe is narrow, so filters on typed columns reach the scan. Equal
     rows combine on the map side. Columns that follow from others (date,
     revenue, the letter case of the description) are added after the dedupe:
     they cannot change which rows are equal, the shuffle is smaller, and they
@@ -121,13 +163,14 @@ def clean_transactions(raw: DataFrame, rules: CleaningRules = CleaningRules()) -
     if rules.country is not None and "country" in raw.columns:
         kept = kept.where(F.col("country") == rules.country)
 
-    typed = kept.withColumns(
-        {
-            "invoice_date": time_of(raw, rules),
-            "quantity": number_of(raw, "quantity"),
-            "unit_price": number_of(raw, "unit_price"),
-        }
-    ).where(
+    values = {
+        "invoice_date": time_of(raw, rules),
+        "quantity": number_of(raw, "quantity"),
+        "unit_price": number_of(raw, "unit_price"),
+    }
+    # Reading text is dear, so it is done once; filters on typed columns reach the scan.
+    is_text = any(isinstance(raw.schema[name].dataType, T.StringType) for name in values)
+    typed = (_read_once(kept, values) if is_text else kept.withColumns(values)).where(
         F.col("invoice_date").isNotNull() & (F.col("quantity") > 0) & (F.col("unit_price") > 0)
     )
     # A missing description turns into the text "Nan".

@@ -1,9 +1,10 @@
 import datetime as dt
+import re
 
 from larder import schemas
 from larder.config import CleaningRules
 from larder.functions.text import product_category, title_case
-from larder.operators.cleaning import canonical_names, clean_transactions, rejected_lines
+from larder.operators.cleaning import canonical_names, clean_transactions, format_shape, rejected_lines, time_of
 from pyspark.sql import functions as F
 
 UK = "United Kingdom"
@@ -104,3 +105,34 @@ def test_rejected_lines_are_counted_by_reason(spark):
         "quantity_not_positive": 1, "price_not_positive": 1,
     }
     assert sum(got.values()) + 2 == len(rows)
+
+
+def test_formats_are_only_tried_on_text_of_their_shape():
+    formats = CleaningRules().timestamp_formats
+    texts = ["12/1/2010 8:26", "12/1/2010 8:26:05", "12/1/2010", "2010-12-01 08:26:05", "2010-12-01 08:26", "2010-12-01", "2010-12-01T08:26:05"]
+    for text, own in zip(texts, formats, strict=True):
+        assert [f for f in formats if re.search(format_shape(f), text)] == [own]
+    assert not any(re.search(format_shape(f), x) for f in formats for x in ("31.12.1999", "", "nan", "2010-12"))
+    assert [format_shape(f) for f in ("d MMM yyyy", "yyyy-MM-dd[ HH:mm]", "HH 'o''clock'", "yyyy-MM-dd HH:mm:ss.SSS", "M/d/yyyy h:mm a")] == [None] * 5
+
+
+def test_shapes_change_no_time(spark):
+    """Against each format tried on every text."""
+    formats = (*CleaningRules().timestamp_formats, "yyyyMMdd", "d MMM yyyy", "dd.MM.yyyy 'um' HH:mm", "yyyy-MM-dd[ HH]")
+    texts = ["12/1/2010 8:26", " 12/1/2010 8:26:05 ", "012/01/2010", "13/1/2010", "2/30/2010", "2010-12-01 08:26:05", "2010-12-01t08:26:05", "2010-12-01T08:26:05",
+             "2010-12-01 08:26", "2010-12-01 8:26", "2010-12-01", "2010-02-29", "2012-02-29", "+12010-12-01", "12010-12-01", "-2010-12-01", "0000-01-01", "2010-12-01 24:00:00",
+             "2010-12-01\n", "2010-12-01  08:26", "20101201", "1 Dec 2010", "1 dec 2010", "01.12.2010 UM 08:26", "01.12.2010 um 8:26", "2010-12-01 08", "\u0661/1/2010", "12/1/10", "", " ", "nan", None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, invoice_date string")
+    plain = F.coalesce(*[F.try_to_timestamp(F.trim("invoice_date"), F.lit(f)) for f in formats])
+    rows = df.select("invoice_date", F.unix_micros(time_of(df, CleaningRules(timestamp_formats=formats))).alias("got"), F.unix_micros(plain).alias("wanted")).collect()
+    assert [r for r in rows if r["got"] != r["wanted"]] == []
+    assert sum(r["wanted"] is not None for r in rows) >= 12
+
+
+def test_text_is_read_once(spark):
+    """Neither the filter nor the counts work out again what the projection has."""
+    raw = spark.createDataFrame([line()], schemas.RAW_LINES)
+    text = raw.withColumn("invoice_date", F.concat("invoice_date", F.lit("")))
+    for made in (clean_transactions(text), rejected_lines(text)):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("M/d/yyyy H:mm:ss") == 1
