@@ -9,6 +9,10 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Invoice rows are narrow and repetitive: what takes 64 MB of a shuffle or 128 MB of a file
+    # unpacks to several million rows, and hash tables over those do not fit a task's memory.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.files.maxPartitionBytes": "32m",
     # Rows that are together by product are together by product and day.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

@@ -25,6 +25,17 @@ def _product(by_brand: bool) -> Column:
     return F.concat_ws(" ", "p_name", "p_brand") if by_brand else F.col("p_name")
 
 
+def _order_buyers(spark: SparkSession, folder: str) -> tuple[DataFrame, Column, Column]:
+    """Orders with their customers and nations, and the columns of customer and country."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
+    nations = table(spark, folder, "nation").select("n_nationkey", "n_name")
+    joined = orders.join(customers, orders.o_custkey == customers.c_custkey).join(
+        nations, customers.c_nationkey == nations.n_nationkey
+    )
+    return joined, F.col("o_custkey").cast("string"), F.col("n_name")
+
+
 def invoice_lines(
     spark: SparkSession, folder: str, buyers: bool = True, by_brand: bool = False
 ) -> DataFrame:
@@ -49,23 +60,30 @@ def invoice_lines(
         "unit_price": F.round(F.col("l_extendedprice") / F.col("l_quantity"), 0),
     }
     if buyers:
-        orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-        customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
-        nations = table(spark, folder, "nation").select("n_nationkey", "n_name")
-        joined = (
-            joined.join(orders, joined.l_orderkey == orders.o_orderkey)
-            .join(customers, orders.o_custkey == customers.c_custkey)
-            .join(nations, customers.c_nationkey == nations.n_nationkey)
-        )
-        columns |= {
-            "customer_id": F.col("o_custkey").cast("string"),
-            "country": F.col("n_name"),
-        }
+        orders, customer, country = _order_buyers(spark, folder)
+        joined = joined.join(orders, joined.l_orderkey == orders.o_orderkey)
+        columns |= {"customer_id": customer, "country": country}
     return joined.select(*[c.alias(n) for n, c in columns.items()])
 
 
 def transactions(spark: SparkSession, folder: str, buyers: bool = True) -> DataFrame:
-    return clean_transactions(invoice_lines(spark, folder, buyers), RULES)
+    """Clean transactions of the lines.
+
+    The buyers follow from the invoice, so lines are cleaned without them. Lines
+    are shuffled once, by invoice: both the row dedupe and the join of the buyers
+    use that. An order that comes with several buyers gives a row for each.
+    """
+    raw = invoice_lines(spark, folder, buyers=False)
+    if not buyers:
+        return clean_transactions(raw, RULES)
+    orders, customer, country = _order_buyers(spark, folder)
+    bought = orders.select(
+        F.col("o_orderkey").cast("string").alias("invoice_no"), customer.alias("customer_id"), country.alias("country")
+    ).repartition("invoice_no").distinct()
+    tx = clean_transactions(raw.repartition("invoice_no"), RULES)
+    return tx.join(bought, "invoice_no").select(
+        *raw.columns, "customer_id", "country", "date", "revenue"
+    )
 
 
 def supply_terms(spark: SparkSession, folder: str, by_brand: bool = False) -> DataFrame:

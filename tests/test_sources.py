@@ -2,11 +2,13 @@ import datetime as dt
 import glob
 import json
 import os
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from larder import schemas
+from larder.operators.cleaning import clean_transactions
 from larder.operators.folds import recent_history
 from larder.operators.quality import missing_report, quality_overview, schema_report
 from larder.plans.full_run import Settings, full_run
@@ -182,3 +184,27 @@ def test_full_run_with_training_and_given_stock(spark, tmp_path):
     assert {m["model"] for m in summary["models"]} == {"RandomForest", "SampledBoosting", "SeasonalNaive"}
     assert spark.read.parquet(f"{tmp_path}/inventory_snapshots").count() == codes.count()
     assert pins() == before
+
+
+def test_lines_are_shuffled_once_by_invoice_and_keep_all_buyers(spark, tmp_path):
+    """Repeated lines, orders with two buyers or none, and missing keys, against cleaning after all joins."""
+    day = dt.datetime(1995, 1, 2)
+    lines = [(1, 1, 2.0, 10.0, "N", day), (1, 1, 2.0, 10.0, "N", day), (1, 2, 2.0, 10.0, "N", day), (1, 3, 1.0, 5.0, "R", day),
+             (2, 3, 1.0, 5.0, "A", day), (2, 9, 1.0, 5.0, "N", day), (3, 1, 1.0, 7.0, "N", day), (None, 1, 1.0, 7.0, "N", day), (4, None, 1.0, 7.0, "N", day),
+             (5, 2, None, 7.0, "N", day), (5, 2, 1.0, 7.0, None, None), (6, 4, 1.0, 7.0, None, day), (7, 1, -1.0, 7.0, "N", day)]
+    tables = {
+        "lineitem": (lines, "l_orderkey long, l_partkey long, l_quantity double, l_extendedprice double, l_returnflag string, l_shipdate timestamp"),
+        "part": ([(1, "red mug", "B1"), (1, "red mug", "B1"), (2, " Red Mug", "B2"), (3, "old rod", "B1"), (4, None, "B1")], "p_partkey long, p_name string, p_brand string"),
+        "orders": ([(1, 1), (1, 2), (1, 2), (2, 3), (3, 8), (None, 1), (5, 1), (6, None), (6, 2), (7, 1)], "o_orderkey long, o_custkey long"),
+        "customer": ([(1, 1), (2, 1), (2, 2), (3, 3), (None, 1)], "c_custkey long, c_nationkey int"),
+        "nation": ([(1, "X"), (2, "Y"), (2, "Y"), (3, None)], "n_nationkey int, n_name string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    made = tpch.transactions(spark, str(tmp_path))
+    after = clean_transactions(tpch.invoice_lines(spark, str(tmp_path)), tpch.RULES)
+    assert made.columns == after.columns and made.dtypes == after.dtypes
+    assert Counter(made.collect()) == Counter(after.collect())
+    assert made.count() == 4 and None in {r["country"] for r in made.collect()}
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "unit_price" not in "".join(x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
