@@ -40,6 +40,24 @@ def test_daily_sums_and_distinct_counts(spark):
     assert row["num_customers"] == 2
 
 
+def test_distinct_values_travel_without_the_sums(spark):
+    """Missing keys and values, and each count against one made by hand."""
+    rows = [(code, date, invoice, customer, 2.0, 3.0, price)
+            for code in ("a", "b", None) for date in (DAY, None) for invoice in ("1", "2", None)
+            for customer, price in (("x", 1.0), ("y", None), (None, None))]
+    rows.append(("c", DAY, None, None, None, None, None))
+    tx = spark.createDataFrame(
+        rows * 2, "stock_code string, date date, invoice_no string, customer_id string, quantity double, revenue double, unit_price double")
+    daily = daily_sales(tx)
+    assert dict(daily.dtypes) == {"stock_code": "string", "date": "date", "quantity": "double", "revenue": "double",
+                                  "avg_unit_price": "double", "num_orders": "bigint", "num_customers": "bigint"}
+    found = {(r["stock_code"], r["date"]): tuple(r)[2:] for r in daily.collect()}
+    assert found.pop(("c", DAY)) == (None, None, None, 0, 0)
+    assert found == {(c, d): (36.0, 54.0, 1.0, 2, 2) for c in ("a", "b", None) for d in (DAY, None)}
+    # One expanded row a line and count, with the buffers of all sums, is what filled a task's memory.
+    assert "Expand" not in daily._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("earlier, price, expected", [(5, 84.0, 1), (4, 1.0, 0), (5, 85.0, 0)])
 def test_promotion_needs_five_earlier_days_and_a_strictly_lower_price(spark, earlier, price, expected):
     rows = [("a", 3 * n, 1.0, 100.0) for n in range(earlier)] + [("a", 100, 1.0, price)]
