@@ -18,6 +18,18 @@ def half_even(value: Column, places: int = 2) -> Column:
     return F.rint(value * scale) / scale
 
 
+def half_up(value: Column) -> Column:
+    """A double to the nearest whole number, ties away from zero.
+
+    The same as ``F.round(value, 0)``, which goes through text and decimals for every
+    value; this stays with doubles.
+    """
+    size = F.abs(value)
+    whole = F.rint(size)
+    # rint takes ties to the even number; adding 0.0 turns -0.0 into 0.0.
+    return F.signum(value) * F.when(size - whole == 0.5, whole + 1.0).otherwise(whole) + F.lit(0.0)
+
+
 def at_least(value: Column, floor: float) -> Column:
     """Lower clip that keeps nulls null (``greatest`` alone skips them)."""
     return F.when(value.isNotNull(), F.greatest(value, F.lit(float(floor))))

@@ -57,8 +57,8 @@ def number_of(df: DataFrame, name: str) -> Column:
     if isinstance(df.schema[name].dataType, T.StringType):
         # The cast alone would take suffixes such as 2d.
         value = F.when(F.trim(value).rlike(_NUMBER), F.trim(value))
-    number = value.try_cast("double")
-    return F.when(~F.isnan(number), number)
+    # nanvl works the number out once, where a condition on it and the number itself would twice.
+    return F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
 
 
 _PATTERN = re.compile(r"'(?P<quoted>[^']*)'|(?P<run>(?P<letter>[A-Za-z])(?P=letter)*)|(?P<mark>.)", re.DOTALL)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from larder.config import CleaningRules
+from larder.functions.numbers import half_up
 from larder.operators.cleaning import clean_transactions
 
 # Public holidays of the fixture: the same month days in every year.
@@ -57,7 +58,7 @@ def invoice_lines(
         "description": F.col("p_name"),
         "quantity": F.col("l_quantity"),
         "invoice_date": F.col("l_shipdate").cast("timestamp"),
-        "unit_price": F.round(F.col("l_extendedprice") / F.col("l_quantity"), 0),
+        "unit_price": half_up(F.col("l_extendedprice") / F.col("l_quantity")),
     }
     if buyers:
         orders, customer, country = _order_buyers(spark, folder)

@@ -13,6 +13,7 @@ from larder.operators.folds import recent_history
 from larder.operators.quality import missing_report, quality_overview, schema_report
 from larder.plans.full_run import Settings, full_run
 from larder.config import CleaningRules, ForecastRules
+from larder.functions.numbers import half_up
 from larder.plans.lineage import checkpoint_dir, pin, pins_released
 from larder.plans import exports
 from larder.sources import tables, tpch
@@ -208,3 +209,17 @@ def test_lines_are_shuffled_once_by_invoice_and_keep_all_buyers(spark, tmp_path)
     assert made.count() == 4 and None in {r["country"] for r in made.collect()}
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert "unit_price" not in "".join(x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
+
+
+def test_prices_are_rounded_without_decimals(spark, tmp_path):
+    """As round does, which parses a decimal for every line; a line's price is worked out once a filter."""
+    odd = [0.0, -0.0, 0.5, -0.5, 1.5, -1.5, 2.5, -2.5, 0.3, -0.3, 0.49999999999999994, -0.49999999999999994, 1e300, -1e300, 5e-324,
+           4503599627370495.5, 4503599627370497.0, 9007199254740993.0, float("inf"), float("-inf"), float("nan"), None]
+    values = odd + [n / 8 for n in range(-400, 400)] + [10.0 * n / 7 for n in range(500)]
+    both = spark.createDataFrame([(v,) for v in values], "v double").select(F.round("v", 0).alias("a"), half_up(F.col("v")).alias("b"))
+    assert [str(r["b"]) for r in both.collect()] == [str(r["a"]) for r in both.collect()]
+    tx = tpch.transactions(spark, "/root/testdata/sf0.001")
+    plan = tx._jdf.queryExecution().optimizedPlan().toString()
+    assert "round(" not in plan
+    filters = [x for x in plan.splitlines() if "Filter" in x and "l_extendedprice" in x]
+    assert filters and all("isnan" not in x for x in filters)
